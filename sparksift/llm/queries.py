@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op4_bpe_encoding
+from .quality import OP6_SQL, op6_quality_rules
 from .token_counts import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_encoding": op4_bpe_encoding,
     "op5_token_counts": op5_token_counts,
+    "op6_quality_rules": op6_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": OP6_SQL,
+}
