@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op4_bpe_encoding
+from .decontaminate import OP10_SQL, op10_decontamination
 from .quality import OP6_SQL, op6_quality_rules
 from .token_counts import op5_token_counts
 
@@ -14,8 +15,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_encoding": op4_bpe_encoding,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": OP6_SQL,
+    "op10_decontamination": OP10_SQL,
 }
