@@ -10,8 +10,10 @@ from .bpe import op4_bpe_encoding
 from .decontaminate import OP10_SQL, op10_decontamination
 from .quality import OP6_SQL, op6_quality_rules
 from .token_counts import op5_token_counts
+from .url_filter import OP3_SQL, op3_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_url_filter": op3_url_filter,
     "op4_bpe_encoding": op4_bpe_encoding,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
@@ -19,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_url_filter": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
     "op10_decontamination": OP10_SQL,
 }
