@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,11 @@ OWN = "__sift_"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers find this package where the driver has it, whatever folder they start in; elsewhere --py-files serves.
+    root = str(Path(__file__).resolve().parents[2])
+    held = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in held.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, held) if x)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
