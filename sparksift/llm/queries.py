@@ -10,6 +10,7 @@ from .bpe import op4_bpe_encoding
 from .decontaminate import OP10_SQL, op10_decontamination
 from .jaccard_join import op9_jaccard_join
 from .quality import OP6_SQL, op6_quality_rules
+from .sharding import op8_sharding
 from .token_counts import op5_token_counts
 from .url_filter import OP3_SQL, op3_url_filter
 
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_encoding": op4_bpe_encoding,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op8_sharding": op8_sharding,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
