@@ -12,9 +12,11 @@ from .jaccard_join import op9_jaccard_join
 from .quality import OP6_SQL, op6_quality_rules
 from .sharding import op8_sharding
 from .token_counts import op5_token_counts
+from .toxicity import op2_toxicity
 from .url_filter import OP3_SQL, op3_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
     "op4_bpe_encoding": op4_bpe_encoding,
     "op5_token_counts": op5_token_counts,
