@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op4_bpe_encoding
 from .decontaminate import OP10_SQL, op10_decontamination
 from .jaccard_join import op9_jaccard_join
+from .licences import OP1_SQL, op1_licence_scan
 from .quality import OP6_SQL, op6_quality_rules
 from .sharding import op8_sharding
 from .token_counts import op5_token_counts
@@ -16,6 +17,7 @@ from .toxicity import op2_toxicity
 from .url_filter import OP3_SQL, op3_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licence_scan": op1_licence_scan,
     "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
     "op4_bpe_encoding": op4_bpe_encoding,
@@ -27,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_licence_scan": OP1_SQL,
     "op3_url_filter": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
     "op10_decontamination": OP10_SQL,
