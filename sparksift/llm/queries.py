@@ -10,6 +10,7 @@ from .bpe import op4_bpe_encoding
 from .decontaminate import OP10_SQL, op10_decontamination
 from .jaccard_join import op9_jaccard_join
 from .licences import OP1_SQL, op1_licence_scan
+from .lm_scoring import op7_lm_scoring
 from .quality import OP6_SQL, op6_quality_rules
 from .sharding import op8_sharding
 from .token_counts import op5_token_counts
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_encoding": op4_bpe_encoding,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_sharding": op8_sharding,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
