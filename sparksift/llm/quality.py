@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import OWN, need, table
+from .common import OWN, need, staged, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -112,7 +112,10 @@ def clean_documents(docs: DataFrame, text_col: str = "text", chars_col: str | No
     """The kept rows of docs, all columns, with failed lines taken out of the text; chars_col gets its new length."""
     need(docs, [text_col])
     columns = docs.columns
-    df = measured(docs, text_col, rules).filter(F.col(f"{OWN}kept")).withColumn(text_col, F.col(f"{OWN}clean"))
+    # Written before it is filtered: a filter would be written out in all the expressions that its columns rest on, which
+    # multiply at each step.
+    df = measured(docs, text_col, rules).withColumn(text_col, F.col(f"{OWN}clean"))
+    df = staged(df.select(*columns, f"{OWN}kept"), "quality").filter(F.col(f"{OWN}kept"))
     if chars_col and chars_col in columns:
         df = df.withColumn(chars_col, F.length(text_col).cast("long"))
     return df.select(*columns)
