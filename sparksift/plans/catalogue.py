@@ -1,10 +1,415 @@
-"""Registered queries and the SQL that says the same."""
+"""Registered queries, and the SQL that says the same over the same tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import Config
+from ..functions import text as fx
+from ..functions.storage import fresh_path, put_bytes, written
+from ..operators import cascade, export, lexicon, ml, report, state
+from ..sources import bundles, seeds, sheets
+from ..streaming import checks
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+#: Caps of bundles scaled to the small tables.
+SMALL = Config(max_links=10, max_bytes=60_000, excerpt_chars=500)
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# SQL for the column functions.
+def sql_host(x: str) -> str:
+    h = f"lower(trim({x}))"
+    for pattern in (r"^[a-z][a-z0-9+.-]*://", r"^[^/?#@]*@", r"[/?#](?s:.*)$", r":[0-9]*$", r"\.+$", r"^(www|m)\."):
+        h = f"regexp_replace({h}, '{pattern}', '')"
+    return f"CASE WHEN contains({h}, '.') THEN {h} END"
+
+
+SPACE = fx.SPACE
+SQL_TEXT = rf"trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '{SPACE}', ' ', 'g'))"
+
+
+def sql_padded(x: str) -> str:
+    return f"' ' || trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')) || ' '"
+
+
+def sql_words(x: str) -> str:
+    return f"list_filter(string_split({sql_padded(x)}, ' '), lambda x: x <> '')"
+
+
+def sql_hits(x: str, terms) -> str:
+    return f"len(list_filter({sql_words(x)}, lambda x: x IN ({', '.join(repr(t) for t in terms)})))::BIGINT"
+
+
+VALUES = ", ".join(f"('{t}', '{g}', {w}::DOUBLE)" for t, g, w in lexicon.TERMS)
+SCORES = f"""lex AS (SELECT * FROM (VALUES {VALUES}) AS v(term, lang, weight)),
+pt AS (SELECT page_id, {SQL_TEXT} AS txt, {sql_host("url")} AS host, url, html FROM pages),
+pp AS (SELECT page_id, {sql_padded("txt")} AS padded FROM pt),
+sc AS (SELECT pp.page_id, count(term)::BIGINT AS hits, coalesce(sum(weight), 0.0::DOUBLE) AS weight FROM pp LEFT JOIN lex ON contains(padded, ' ' || lower(term) || ' ') GROUP BY pp.page_id)"""
+
+
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select("page_id", "url", fx.host_of(F.col("url")).alias("host"), fx.text_of(F.col("html")).alias("txt"))
+
+
+@query(f"SELECT page_id, {sql_host('url')} AS host FROM pages")
+def q_host_normalise(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", fx.host_of(F.col("url")).alias("host"))
+
+
+@query(rf"SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '{SPACE}', ' ', 'g')) AS title FROM pages")
+def q_title_extract(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", fx.title_of(F.col("html")).alias("title"))
+
+
+@query(f"SELECT page_id, substring({SQL_TEXT}, 1, 500) AS excerpt FROM pages")
+def q_excerpt(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", fx.excerpt_of(F.col("html"), SMALL.excerpt_chars).alias("excerpt"))
+
+
+@query("""SELECT page_id, i::INT AS pos, l[i] AS href FROM (SELECT page_id, regexp_extract_all(html, '(?i)href="([^"]*)"', 1) AS l FROM pages), unnest(generate_series(1, len(l))) AS u(i)""")
+def q_link_explode(spark, sf_dir):
+    links = read(spark, sf_dir, "pages").select("page_id", F.posexplode(fx.links_of(F.col("html"))).alias("pos", "href"))
+    return links.withColumn("pos", F.col("pos") + 1)
+
+
+@query(f"SELECT page_id, {sql_hits(SQL_TEXT, [t for t, _, _ in lexicon.TERMS if ' ' not in t])} AS hits FROM pages")
+def q_term_rlike(spark, sf_dir):
+    single = [t for t, _, _ in lexicon.TERMS if " " not in t]
+    return page_texts(spark, sf_dir).select("page_id", lexicon.term_hits(F.col("txt"), single).alias("hits"))
+
+
+@query(f"WITH {SCORES} SELECT page_id, hits, weight FROM sc")
+def q_lexicon_theta(spark, sf_dir):
+    return lexicon.lexicon_scores(page_texts(spark, sf_dir), lexicon.terms(spark), "page_id", "txt")
+
+
+GUARD = f"({sql_hits('txt', lexicon.GUARDS)} > 0 AND {sql_hits('txt', lexicon.STRONG)} = 0)"
+
+
+@query(f"WITH {SCORES} SELECT page_id, {GUARD} AS guarded, CASE WHEN {GUARD} THEN 'guarded' WHEN {sql_hits('txt', lexicon.STRONG)} > 0 THEN 'strong' ELSE 'plain' END AS bucket FROM pt")
+def q_guard_case(spark, sf_dir):
+    guarded, strong = lexicon.guarded(F.col("txt")), lexicon.term_hits(F.col("txt"), lexicon.STRONG) > 0
+    return page_texts(spark, sf_dir).select("page_id", guarded.alias("guarded"), F.when(guarded, "guarded").when(strong, "strong").otherwise("plain").alias("bucket"))
+
+
+@query(f"""WITH c AS (SELECT {sql_host('url')} AS host, page_id AS seen_at, CASE WHEN page_id % 2 = 0 THEN 'bing' ELSE 'yahoo' END AS engine FROM pages)
+SELECT host, min(seen_at) AS first_seen, string_agg(DISTINCT engine, ',' ORDER BY engine) AS engines, count(*)::BIGINT AS n FROM c WHERE host IS NOT NULL GROUP BY host""")
+def q_host_dedup(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages").select(fx.host_of(F.col("url")).alias("host"), F.col("page_id").alias("seen_at"))
+    both = pages.filter("seen_at % 2 = 0").withColumn("engine", F.lit("bing")).unionByName(pages.filter("seen_at % 2 <> 0").withColumn("engine", F.lit("yahoo")))
+    return state.deduped(both).withColumn("engines", F.array_join("engines", ","))
+
+
+@query(f"""WITH c AS (SELECT page_id, {sql_host('url')} AS host FROM pages)
+SELECT DISTINCT host FROM c WHERE page_id % 2 = 0 AND host IS NOT NULL AND host NOT IN (SELECT host FROM c WHERE page_id % 2 = 1 AND host IS NOT NULL)""")
+def q_new_domains(spark, sf_dir):
+    hosts = read(spark, sf_dir, "pages").select("page_id", fx.host_of(F.col("url")).alias("host"))
+    return state.new_hosts(hosts.filter("page_id % 2 = 0"), hosts.filter("page_id % 2 = 1")).select("host").distinct()
+
+
+@query("SELECT page_id, url FROM pages WHERE page_id IN (SELECT user_id FROM events WHERE event_type = 'error')")
+def q_already_reported(spark, sf_dir):
+    log = read(spark, sf_dir, "events").filter("event_type = 'error'").select(F.col("user_id").alias("page_id"))
+    return state.reported(read(spark, sf_dir, "pages").select("page_id", "url"), log, "page_id")
+
+
+LATEST = "SELECT user_id, ts, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"
+
+
+def check_log(spark, sf_dir):
+    return read(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+
+
+@query(LATEST)
+def q_latest_check(spark, sf_dir):
+    return state.latest(check_log(spark, sf_dir), "user_id", "ts", "event_id")
+
+
+@query(f"SELECT * FROM ({LATEST}) WHERE event_type = 'error'")
+def q_mode_blocked(spark, sf_dir):
+    return state.blocked(check_log(spark, sf_dir), "user_id", "ts", "event_id", "event_type", ("error",))
+
+
+CHANGES = "SELECT user_id, event_id, b AS from_status, event_type AS to_status FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events) WHERE b IS NOT NULL AND b <> event_type"
+
+
+@query(CHANGES)
+def q_status_change(spark, sf_dir):
+    moved = state.changes(check_log(spark, sf_dir), "user_id", "ts", "event_id", "event_type")
+    return moved.select("user_id", "event_id", F.col("before").alias("from_status"), F.col("event_type").alias("to_status"))
+
+
+@query("""SELECT user_id, ts, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+FROM (SELECT user_id, ts, event_id, event_type FROM events UNION ALL SELECT user_id, ts + INTERVAL 1 DAY, -event_id - 1, 'blocked' FROM events WHERE event_type = 'error')) WHERE rn = 1""")
+def q_store_upsert(spark, sf_dir):
+    log = check_log(spark, sf_dir)
+    updates = log.filter("event_type = 'error'").select("user_id", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), (-F.col("event_id") - 1).alias("event_id"), F.lit("blocked").alias("event_type"))
+    return written(state.upserted(log, updates, "user_id", "ts", "event_id"), "store")
+
+
+@query(f"SELECT page_id, host, bytes, sum(bytes) OVER (PARTITION BY host ORDER BY page_id ROWS UNBOUNDED PRECEDING)::BIGINT AS running FROM (SELECT page_id, {sql_host('url')} AS host, strlen(html)::BIGINT AS bytes FROM pages)")
+def q_running_size(spark, sf_dir):
+    return export.running_bytes(page_items(spark, sf_dir), "host", "page_id", "bytes")
+
+
+def page_items(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", fx.host_of(F.col("url")).alias("host"), F.octet_length("html").cast("long").alias("bytes"))
+
+
+LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate"]
+
+
+@query(f"""SELECT l_returnflag, part_no, count(*)::BIGINT AS links, sum(l_quantity) AS quantity FROM (SELECT *, ((row_number() OVER (PARTITION BY l_returnflag ORDER BY {', '.join(LINE)}) - 1) // 1000)::BIGINT AS part_no FROM lineitem)
+GROUP BY l_returnflag, part_no""")
+def q_split_links(spark, sf_dir):
+    split = export.split_links(read(spark, sf_dir, "lineitem").select("l_returnflag", *LINE), "l_returnflag", LINE, Config())
+    return split.groupBy("l_returnflag", "part_no").agg(F.count("*").alias("links"), F.sum("l_quantity").alias("quantity"))
+
+
+SPLIT = f"""WITH RECURSIVE i AS (SELECT {sql_host('url')} AS bundle, page_id AS item, strlen(html)::BIGINT AS bytes FROM pages),
+o AS (SELECT *, row_number() OVER (PARTITION BY bundle ORDER BY item) AS rn FROM i),
+w AS (SELECT bundle, item, bytes, rn, 0::BIGINT AS part_no, 1::BIGINT AS k, bytes AS held FROM o WHERE rn = 1
+UNION ALL SELECT o.bundle, o.item, o.bytes, o.rn, CASE WHEN w.k + 1 > 10 OR w.held + o.bytes > 60000 THEN w.part_no + 1 ELSE w.part_no END,
+CASE WHEN w.k + 1 > 10 OR w.held + o.bytes > 60000 THEN 1 ELSE w.k + 1 END, CASE WHEN w.k + 1 > 10 OR w.held + o.bytes > 60000 THEN o.bytes ELSE w.held + o.bytes END
+FROM w JOIN o ON o.bundle = w.bundle AND o.rn = w.rn + 1)"""
+
+
+def dual_split(spark, sf_dir):
+    return export.split_dual(page_items(spark, sf_dir), "host", "page_id", "bytes", SMALL)
+
+
+@query(f"{SPLIT} SELECT bundle, item, bytes, part_no FROM w")
+def q_split_dual_cap(spark, sf_dir):
+    return dual_split(spark, sf_dir)
+
+
+@query(f"{SPLIT} SELECT bundle, part_no, count(*)::BIGINT AS links, sum(bytes)::BIGINT AS bytes FROM w GROUP BY bundle, part_no")
+def q_split_counters(spark, sf_dir):
+    return export.part_counters(dual_split(spark, sf_dir))
+
+
+@query(f"{SPLIT} SELECT bundle, part_no, true AS pdf_ok, count(*)::BIGINT AS xlsx_rows FROM w GROUP BY bundle, part_no")
+def q_export_bundles(spark, sf_dir):
+    """Each part rendered as PDF and workbook, and the workbook read back."""
+    urls = read(spark, sf_dir, "pages").select(F.col("page_id").alias("item"), "url")
+    manifest = dual_split(spark, sf_dir).join(urls, "item").select("bundle", "part_no", F.col("bundle").alias("host"), "url")
+
+    def back(frames):
+        for f in frames:
+            f["xlsx_rows"] = [sum(1 for _ in sheets.read_rows(bytes(x))) - 1 for x in f["xlsx"]]
+            f["pdf_ok"] = [bytes(x).startswith(b"%PDF-1.4") and bytes(x).rstrip().endswith(b"%%EOF") for x in f["pdf"]]
+            yield f[["bundle", "part_no", "pdf_ok", "xlsx_rows"]]
+
+    return bundles.rendered(manifest).mapInPandas(back, "bundle string, part_no long, pdf_ok boolean, xlsx_rows long")
+
+
+@query("SELECT page_id, coalesce(string_agg(source, ',' ORDER BY source), '') AS evidence FROM pages LEFT JOIN documents ON page_id = n_chars GROUP BY page_id")
+def q_evidence_attach(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select(F.col("n_chars").alias("page_id"), "source")
+    return export.with_evidence(read(spark, sf_dir, "pages").select("page_id"), docs, "page_id", "source").withColumn("evidence", F.array_join("evidence", ","))
+
+
+@query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
+def q_json_parse(spark, sf_dir):
+    return read(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+#: Replies made of events by a rule: as they are, fenced, cut short, or with a wrong verdict.
+REPLY = """CASE CAST(event_id % 4 AS INT) WHEN 0 THEN {ok} WHEN 1 THEN concat('Sure: ', {ok}, ' done') WHEN 2 THEN substring({ok}, 1, 20) ELSE '{{"verdict":"maybe","confidence":0.5}}' END"""
+REPLY = REPLY.format(ok="""concat('{"verdict":"', CASE WHEN event_type = 'error' THEN 'flag' ELSE 'clear' END, '","confidence":0.75}')""")
+
+
+@query("""SELECT event_type, count(*)::BIGINT AS n, count(*) FILTER (event_id % 4 IN (0, 1))::BIGINT AS n_valid, count(*) FILTER (event_id % 4 = 1)::BIGINT AS n_repaired,
+round(avg(CASE WHEN event_id % 4 IN (0, 1) THEN 1 ELSE 0 END), 6) AS share FROM events GROUP BY event_type""")
+def q_json_adherence(spark, sf_dir):
+    fields = cascade.reply_fields(F.col("raw"))
+    replies = read(spark, sf_dir, "events").select("event_type", F.expr(REPLY).alias("raw")).select("event_type", fields["valid"].alias("valid"), fields["repaired"].alias("repaired"))
+    return report.adherence(replies, "event_type", "valid", "repaired")
+
+
+VOTES = "SELECT doc_id, CASE WHEN quality = 1 THEN 'clear' ELSE 'flag' END AS p, CASE WHEN n_chars > 1000 THEN 'clear' ELSE 'flag' END AS v, CASE WHEN lang = 'en' THEN 'clear' WHEN lang = 'fr' THEN 'flag' END AS t FROM documents JOIN labels USING (doc_id)"
+
+
+def votes(spark, sf_dir):
+    joined = read(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").join(read(spark, sf_dir, "labels"), "doc_id")
+    return joined.select(
+        "doc_id",
+        F.when(F.col("quality") == 1, "clear").otherwise("flag").alias("p"),
+        F.when(F.col("n_chars") > 1000, "clear").otherwise("flag").alias("v"),
+        F.when(F.col("lang") == "en", "clear").when(F.col("lang") == "fr", "flag").alias("t"),
+    )
+
+
+@query(f"SELECT doc_id, CASE WHEN p = v THEN p ELSE coalesce(t, 'unsure') END AS verdict, CASE WHEN p = v THEN 'agreed' WHEN t IS NOT NULL THEN 'tiebreaker' ELSE 'none' END AS decided_by FROM ({VOTES})")
+def q_consensus(spark, sf_dir):
+    out = cascade.consensus(F.col("p"), F.col("v"), F.col("t"))
+    return votes(spark, sf_dir).select("doc_id", out["verdict"].alias("verdict"), out["decided_by"].alias("decided_by"))
+
+
+@query(f"SELECT verdict, count(*) FILTER (role = 'primary')::BIGINT AS primary_n, count(*) FILTER (role = 'validator')::BIGINT AS validator_n, count(*) FILTER (role = 'tiebreaker')::BIGINT AS tiebreaker_n FROM (SELECT 'primary' AS role, p AS verdict FROM ({VOTES}) UNION ALL SELECT 'validator', v FROM ({VOTES}) UNION ALL SELECT 'tiebreaker', t FROM ({VOTES})) WHERE verdict IS NOT NULL GROUP BY verdict")
+def q_vote_pivot(spark, sf_dir):
+    long = votes(spark, sf_dir).selectExpr("stack(3, 'primary', p, 'validator', v, 'tiebreaker', t) AS (role, verdict)").filter("verdict IS NOT NULL")
+    wide = long.groupBy("verdict").pivot("role", ["primary", "validator", "tiebreaker"]).count().na.fill(0)
+    return wide.select("verdict", *[F.col(r).alias(f"{r}_n") for r in ("primary", "validator", "tiebreaker")])
+
+
+@query("SELECT CAST(ts AS DATE) AS day, event_type, count(*)::BIGINT AS n, round(sum(value), 2) AS total FROM events GROUP BY ROLLUP (CAST(ts AS DATE), event_type)")
+def q_dashboard_rollup(spark, sf_dir):
+    return report.status_rollup(read(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), "day", "event_type", "value")
+
+
+@query("SELECT CAST(ts AS DATE) AS day, count(*)::BIGINT AS checks FROM events GROUP BY 1")
+def q_throughput_daily(spark, sf_dir):
+    return report.throughput(read(spark, sf_dir, "events"), "ts")
+
+
+@query(r"SELECT role, sum(len(list_filter(string_split_regex(text, '[\x20\t\n\r]+'), lambda x: x <> '')))::BIGINT AS tokens, count(*)::BIGINT AS turns FROM conversations GROUP BY role")
+def q_token_budget(spark, sf_dir):
+    return report.token_use(read(spark, sf_dir, "conversations"), "role", "text")
+
+
+@query("SELECT doc_id, lang, quality AS label FROM documents JOIN labels USING (doc_id) WHERE toxic = 0")
+def q_labels_filter(spark, sf_dir):
+    confirmed = read(spark, sf_dir, "labels").filter("toxic = 0").select("doc_id", F.col("quality").alias("label"))
+    return read(spark, sf_dir, "documents").select("doc_id", "lang").join(confirmed, "doc_id")
+
+
+@query("SELECT doc_id, p, CASE WHEN p >= 0.95 THEN 'flag' WHEN p <= 0.05 THEN 'clear' END AS verdict FROM (SELECT doc_id, least(n_chars / 5000.0::DOUBLE, 1.0::DOUBLE) AS p FROM documents JOIN labels USING (doc_id))")
+def q_fast_path_gate(spark, sf_dir):
+    joined = read(spark, sf_dir, "documents").select("doc_id", "n_chars").join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id")
+    p = F.least(F.col("n_chars") / F.lit(5000.0), F.lit(1.0))
+    return joined.select("doc_id", p.alias("p"), cascade.gate(F.col("p"), Config()).alias("verdict"))
+
+
+@query()
+def q_ml_predict(spark, sf_dir):
+    """Fit on confirmed hosts that aren't held out, save, load, score all."""
+    pages = read(spark, sf_dir, "pages").select(fx.host_of(F.col("url")).alias("text")).filter("text IS NOT NULL").distinct()
+    confirmed = pages.withColumn("label", F.col("text").rlike("casino|bets|pills|spam|ads").cast("int")).withColumn("held_out", F.crc32("text") % 5 == 0)
+    path = fresh_path(spark, "model")
+    ml.save(ml.train(confirmed.filter(~F.col("held_out")).select("text", "label")), path)
+    return ml.predict(ml.load(path), confirmed).select(F.col("text").alias("host"), "label", "held_out", F.round("p", 4).alias("p"))
+
+
+def host_excerpts(spark, sf_dir):
+    """The excerpt of each host's first page."""
+    pages = read(spark, sf_dir, "pages").select("page_id", fx.host_of(F.col("url")).alias("host"), fx.excerpt_of(F.col("html"), Config().excerpt_chars).alias("excerpt"))
+    return pages.filter("host IS NOT NULL").groupBy("host").agg(F.min_by("excerpt", "page_id").alias("excerpt"))
+
+
+@query()
+def q_llm_stub(spark, sf_dir):
+    return cascade.classify(host_excerpts(spark, sf_dir), Config())
+
+
+@query()
+def q_llm_fast_mode(spark, sf_dir):
+    return cascade.classify(host_excerpts(spark, sf_dir), Config(fast_mode=True))
+
+
+HOSTS = f"SELECT DISTINCT host FROM (SELECT {sql_host('url')} AS host FROM pages) WHERE host IS NOT NULL"
+
+
+@query(HOSTS)
+def q_csv_seed(spark, sf_dir):
+    path = fresh_path(spark, "seeds")
+    read(spark, sf_dir, "pages").select(F.col("url").alias("domain"), F.lit("page").alias("note")).write.option("header", True).csv(path)
+    return seeds.seed_hosts(seeds.csv_seeds(spark, path))
+
+
+@query(HOSTS)
+def q_excel_seed(spark, sf_dir):
+    """Workbooks are written by executors, a thousand urls each, and read back."""
+    path = fresh_path(spark, "workbooks")
+    urls = read(spark, sf_dir, "pages").select("url")
+
+    def books(frames):
+        import pandas as pd
+
+        for f in frames:
+            for k in range(0, len(f), 1000):
+                yield pd.DataFrame({"content": [sheets.workbook(["domain", "note"], [[u, "page"] for u in f["url"].iloc[k : k + 1000]])]})
+
+    written_books = written(urls.mapInPandas(books, "content binary"), "books")
+    for n, row in enumerate(written_books.toLocalIterator()):
+        put_bytes(spark, f"{path}/{n}.xlsx", bytes(row["content"]))
+    return seeds.seed_hosts(seeds.excel_seeds(spark, path))
+
+
+@query()
+def q_harvest_source(spark, sf_dir):
+    hits = seeds.harvest(spark, [t for t, _, _ in lexicon.TERMS])
+    return state.deduped(hits.select(fx.host_of(F.col("url")).alias("host"), "seen_at", "engine")).withColumn("engines", F.array_join("engines", ","))
+
+
+@query("SELECT page_id::VARCHAR || '.png' AS name, strlen(url)::BIGINT AS bytes, sha256(url) AS sha256 FROM pages")
+def q_screenshot_scan(spark, sf_dir):
+    """Stand-in files hold the url's bytes."""
+    path = fresh_path(spark, "shots")
+    for row in read(spark, sf_dir, "pages").select("page_id", "url").toLocalIterator():
+        put_bytes(spark, f"{path}/{row['page_id']}.png", row["url"].encode())
+    return seeds.screenshots(spark, path)
+
+
+@query("SELECT date_trunc('hour', ts)::TIMESTAMP AS start, event_type, count(*)::BIGINT AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
+def q_stream_windows(spark, sf_dir):
+    return checks.hourly(spark, sf_dir)
+
+
+@query("SELECT DISTINCT event_id, user_id, event_type FROM events")
+def q_stream_dedup(spark, sf_dir):
+    return checks.without_repeats(spark, sf_dir)
+
+
+@query(CHANGES)
+def q_stream_status(spark, sf_dir):
+    return checks.status_changes(spark, sf_dir)
+
+
+@query("""SELECT n_name, l_returnflag, count(*)::BIGINT AS lines, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, l_returnflag""")
+def q_region_report(spark, sf_dir):
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice", "l_discount")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nations = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.groupBy("n_name", "l_returnflag").agg(F.count("*").alias("lines"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
+
+
+@query(rf"""WITH {SCORES},
+r AS (SELECT pt.host, pt.page_id, weight, {GUARD} AS guarded, regexp_matches(host, 'casino|bets|pills|spam') AS named, strlen(html)::BIGINT AS bytes FROM pt JOIN sc USING (page_id) WHERE host IS NOT NULL),
+h AS (SELECT host, count(*)::BIGINT AS pages, max(weight) AS weight, bool_and(guarded) AS guarded, bool_or(named) AS named, sum(bytes)::BIGINT AS bytes FROM r GROUP BY host)
+SELECT host, pages, weight, bytes, CASE WHEN named THEN 'flag' WHEN guarded THEN 'clear' WHEN weight >= 3 THEN 'flag' WHEN weight = 0 THEN 'clear' ELSE 'unsure' END AS verdict,
+((row_number() OVER (PARTITION BY CASE WHEN named THEN 'flag' WHEN guarded THEN 'clear' WHEN weight >= 3 THEN 'flag' WHEN weight = 0 THEN 'clear' ELSE 'unsure' END ORDER BY host) - 1) // 1000)::BIGINT AS part_no FROM h""")
+def q_host_verdict(spark, sf_dir):
+    """The flagship: pages to hosts, text scores and guard, verdict of each host, export part."""
+    pages = read(spark, sf_dir, "pages").select("page_id", fx.host_of(F.col("url")).alias("host"), fx.text_of(F.col("html")).alias("txt"), F.octet_length("html").cast("long").alias("bytes")).filter("host IS NOT NULL")
+    scored = lexicon.lexicon_scores(pages, lexicon.terms(spark), "page_id", "txt").select("page_id", "weight")
+    rows = pages.withColumn("guarded", lexicon.guarded(F.col("txt"))).withColumn("named", F.col("host").rlike("casino|bets|pills|spam")).drop("txt").join(scored, "page_id")
+    hosts = rows.groupBy("host").agg(F.count("*").alias("pages"), F.max("weight").alias("weight"), F.bool_and("guarded").alias("guarded"), F.bool_or("named").alias("named"), F.sum("bytes").alias("bytes"))
+    verdict = F.when(F.col("named"), "flag").when(F.col("guarded"), "clear").when(F.col("weight") >= 3, "flag").when(F.col("weight") == 0, "clear").otherwise("unsure")
+    return export.split_links(hosts.withColumn("verdict", verdict), "verdict", ["host"], Config()).drop("guarded", "named")
 
 
-def flagship(spark, sf_dir):
-    return QUERIES["q_host_verdict"](spark, sf_dir)
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q_host_verdict(spark, sf_dir)
