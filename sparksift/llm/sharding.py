@@ -111,7 +111,8 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     need(docs, [id_col, text_col])
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"))
-    rows = staged(rows, "sizes")
+    # Rows are numbered in the parts of the scan, which know nothing of texts: a group of copies is spread over them.
+    rows = staged(rows.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), "sizes")
     key = ["h", "g", "size", "text_crc32"]
     sums = rows.groupBy(*key).agg(F.sum("size").alias("bytes"))
     # Items are numbered once and for all by writing them.
@@ -119,8 +120,7 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     if groups.isEmpty():
         return rows.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit(None).cast("int").alias("shard"), F.lit(None).cast("long").alias("slot"))
     dealt = groups.select("item", *key).join(balanced(groups, sharding), "item").drop("item")
-    placed = rows.join(dealt, key).withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
-    placed = staged(placed.select("id", "size", "text_crc32", "shard", "part", "at"), "placed")
+    placed = staged(rows.join(dealt, key).select("id", "size", "text_crc32", "shard", "part", "at"), "placed")
     # A slot is the rows of its shard in earlier parts, and those before it in its own.
     counts = placed.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = counts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("before"))
