@@ -15,7 +15,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import need, table
+from .common import need, staged, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Listed rules: host, path, verdict.
@@ -28,6 +28,10 @@ RULES = (
 )
 
 
+#: Token sets with a mined verdict that may be broadcast; beyond it they are joined by a shuffle.
+BROADCAST_SETS = 50_000
+
+
 @dataclass(frozen=True)
 class Mining:
     min_support: float = 0.01
@@ -101,7 +105,10 @@ def filter_urls(pages: DataFrame, rules=RULES, mining: Mining = Mining(), id_col
         return judged.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("listed", F.lit(mining.default)).alias("verdict"))
     frequency = labelled.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     open_sets = judged.filter(F.col("listed").isNull()).select("items").distinct()
-    found = matched(open_sets, mined_rules(labelled, mining), frequency)
+    # Copies of a host and path form have one token set, which may be that of a third of all urls.
+    found = staged(matched(open_sets, mined_rules(labelled, mining), frequency), "verdicts")
+    if found.count() <= BROADCAST_SETS:
+        found = F.broadcast(found)
     out = judged.join(found, "items", "left")
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("listed", "mined", F.lit(mining.default)).alias("verdict"))
 
