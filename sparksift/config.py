@@ -9,16 +9,17 @@ from dataclasses import dataclass
 class Config:
     """Thresholds flag at `high` or more and clear at `low` or less; an export part holds at most max_links links and max_bytes bytes."""
 
-    low: float = 0.05
-    high: float = 0.95
-    fast_mode: bool = False
-    fast_confidence: float = 0.9
+    # Concurrency of calls and checks, caps of an export part, monthly quota of tokens.
     ai_concurrency: int = 12
     check_concurrency: int = 20
     max_links: int = 1_000
     max_bytes: int = 24_000_000
-    excerpt_chars: int = 2_000
     monthly_tokens: int = 1_500_000_000
+    low: float = 0.05
+    high: float = 0.95
+    fast_mode: bool = False
+    fast_confidence: float = 0.9
+    excerpt_chars: int = 2_000
     json_retries: int = 2
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import padded_words, words_of
 from ..schemas import KEYWORD
 
-#: term, language, weight. Terms of several words match across blanks and hyphens.
+#: Term, language, weight. Terms of several words match across blanks and hyphens.
 TERMS = (
     ("bet", "en", 1.0), ("bets", "en", 1.0), ("casino", "en", 2.0), ("jackpot", "en", 2.0), ("odds", "en", 1.0), ("spin", "en", 1.0),
     ("free bets", "en", 3.0), ("win", "en", 0.5), ("pills", "en", 1.0), ("satta matka", "hi", 4.0), ("khai lagai", "hi", 4.0), ("mahadev book", "hi", 4.0),
