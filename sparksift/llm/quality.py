@@ -122,7 +122,8 @@ def clean_documents(docs: DataFrame, text_col: str = "text", chars_col: str | No
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(table(spark, sf_dir, "documents")).drop("clean")
+    # Written, so that what is built on top of it meets columns and not their expressions.
+    return staged(quality_report(table(spark, sf_dir, "documents")).drop("clean"), "report")
 
 
 _TERMS = BOILERPLATE.replace("'", "''")

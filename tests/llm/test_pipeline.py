@@ -135,3 +135,22 @@ def test_stages_return_the_columns_of_documents(spark):
     docs = table(spark, SF_DIR, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_DIR).dtypes == docs.dtypes
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        table(spark, SF_DIR, name).limit(0).write.parquet(f"file://{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 0
+
+
+def test_queries_on_odd_tables(spark, tmp_path, edge_rows):
+    """Nulls, repeated rows and extra columns through the queries themselves."""
+    from sparksift.llm.queries import QUERIES
+
+    spark.createDataFrame([(i, t, "en", None, None, "x") for i, t in edge_rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, score string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(4, 1, 1), (5, 0, 0), (5, None, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, None), (None, "x"), (2, "one two three")], "item_id bigint, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    for name, f in QUERIES.items():
+        if not name.startswith("op3"):
+            assert f(spark, f"file://{tmp_path}").count() == len(edge_rows), name
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() <= len(edge_rows)
