@@ -33,8 +33,8 @@ FRAGMENT = re.compile(r"[ \t-\r]*[A-Za-z]+(?=[!-/:-@\[-`{-~])|[ \t-\r]*[^ \t-\r]
 SETTLED = re.compile(r"[\t-\r -~À-ÿ]+")
 CAREFUL = re.compile("(?<=[^\\s\x1c-\x1f\x85᠎​﻿])(?=[ \t-\r])")
 LONG_FRAGMENT = 256
-MEMO_ENTRIES = 400_000
-SLICE_BYTES = 4 << 20
+MEMO_ENTRIES = 250_000
+SLICE_BYTES = 2 << 20
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import OWN, byte_groups, need, staged, table
 from .components import components
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 #: Rows of candidate members (five longs each) that may be broadcast to filter the texts; beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 

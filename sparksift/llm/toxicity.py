@@ -26,7 +26,8 @@ from .common import OWN, byte_groups, need, staged, table
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BEGINNINGS = (4, 5, 6)
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
+MEMO_ENTRIES = 150_000
 #: Terms that name groups, by kind; a term is swapped for the next of its kind.
 IDENTITY_TERMS = (
     ("women", "men"),
@@ -91,7 +92,7 @@ class Model:
     def logit(self, raw: bytes) -> float:
         """Of a whole text: each distinct feature counts once, however long the text."""
         memo, weights, found = self.memo, self.weights, set()
-        if len(memo) > 500_000:
+        if len(memo) > MEMO_ENTRIES:
             memo.clear()
         for w in set(words(raw)):
             got = memo.get(w)
