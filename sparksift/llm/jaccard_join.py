@@ -298,8 +298,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = some.select("node", F.explode("bands").alias("band"))
     full = banded.groupBy("band").agg(F.min("node").alias("centre"), F.max("node").alias("other")).filter("centre <> other").select("band", "centre")
     groups = staged(components(banded.join(full, "band").select(F.col("node").alias("u"), F.col("centre").alias("v"))), "groups")
-    sizes = groups.groupBy("label").agg(F.ceil(F.count("*") / join.block).cast("int").alias("n_blocks"))
-    members = groups.join(sizes, "label").join(nodes, "node")
+    # Written before they are joined: a join whose sides have exchanges of their own can split a label that most rows have.
+    sizes = staged(groups.groupBy("label").agg(F.ceil(F.count("*") / join.block).cast("int").alias("n_blocks")).filter("n_blocks > 1"), "sizes")
+    members = groups.join(sizes, "label", "left").withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1))).join(nodes, "node")
     members = staged(members.select("node", "label", "n_blocks", F.expr("CAST(pmod(xxhash64(node), n_blocks) AS int)").alias("block"), F.col("rep.id").alias("rep_id"), F.col("rep.th").alias("rep_th"), "size", "copies"), "members")
     narrow = members.select("node", "rep_id", "rep_th")
     if members.count() <= BROADCAST_ROWS:
@@ -316,7 +317,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
     classed = nodes.join(found, "node", "left").join(counts, "node", "left").select("node", "copies", F.col("rep.id").alias("rep_id"), F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
     classed = staged(classed, "classes")
-    least = classed.groupBy("label").agg(F.min("rep_id").alias("class_id"))
+    least = staged(classed.groupBy("label").agg(F.min("rep_id").alias("class_id")), "least")
     of_node = classed.join(least, "label").select("node", "class_id", F.col("label").alias("class_key"), (F.col("copies") - 1 + F.col("links")).alias("n_links"))
     out = signed.select("id", "th", "node").join(of_node, "node", "left")
     return out.select(
