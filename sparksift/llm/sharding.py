@@ -4,6 +4,10 @@ Equal texts form a group that goes to one shard whole. Differencing repeatedly t
 largest spread and lays the heaviest parts of one on the lightest of the other. It runs in blocks of bounded size:
 groups are dealt to blocks by hash, each block ends as one partial partition, and the partial partitions of the
 blocks are the items of the next level, until one block is left. The slots of the levels are then composed.
+
+A block alone can't offset a group that is heavier than a shard's share of the block. Where there are such groups they
+are laid on shards first, and each block of the others is closed with its part of the room that they leave, as one more
+item, so that all blocks together fill up the other shards. The last block is closed on the true sums of all before it.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +26,8 @@ from .common import need, staged, table
 
 @dataclass(frozen=True)
 class Sharding:
+    """block_items counts from 16 a shard on."""
+
     shards: int = 8
     block_items: int = 8192
 
@@ -81,13 +88,71 @@ def _level(items: DataFrame, k: int, block_items: int) -> tuple[DataFrame, int]:
     return staged(out, "differencing"), blocks
 
 
+def _level_up(held: list[int], amount: int) -> list[int]:
+    """How far each slot lies over the lowest, those over the level to which amount fills them up counted as at it."""
+    order = sorted(held)
+    level, below = order[0] + amount, order[0]
+    for n, h in enumerate(order[1:], 1):
+        if h >= level:
+            break
+        below += h
+        level = (amount + below) // (n + 1)
+    return [min(h, level) - order[0] for h in held]
+
+
+def _filled(lights: DataFrame, over: list[int], total: int) -> DataFrame:
+    """lights: item, bytes, block. Gives item, bytes, shard, each block closed with its part of `over` by bytes of the total."""
+    k = len(over)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("item")
+        weights = [int(x) for x in pdf["bytes"]]
+        # Shards of equal sums are taken in another order by each block, so that what blocks leave over doesn't add up.
+        order = np.random.default_rng(int(pdf["block"].iloc[0])).permutation(k).tolist()
+        room = [over[s] * sum(weights) // max(total, 1) for s in order]
+        _, slots = differencing([[w] + [0] * (k - 1) for w in weights] + [room])
+        shard_of = dict(zip(slots[-1], order))
+        return pd.DataFrame({"item": pdf["item"].to_numpy(), "bytes": pdf["bytes"].to_numpy(), "shard": [shard_of[s[0]] for s in slots[:-1]]})
+
+    return staged(lights.groupBy("block").applyInPandas(run, "item bigint, bytes bigint, shard int"), "filled")
+
+
+def _sums(placed: DataFrame, k: int) -> list[int]:
+    found = dict(placed.groupBy("shard").agg(F.sum("bytes")).collect())
+    return [found.get(s, 0) for s in range(k)]
+
+
 def balanced(groups: DataFrame, sharding: Sharding = Sharding()) -> DataFrame:
     """groups: item long, bytes long. Gives item, shard int."""
     k = sharding.shards
+    n, total = groups.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    # Blocks of fewer groups can't be balanced each.
+    block_items = max(sharding.block_items, 16 * k)
+    blocks = max(1, -(-n // block_items))
+    # Heavier than a shard's share of a block: there are fewer than shards * blocks.
+    heavy = groups.select("item", "bytes").filter(F.col("bytes") > total // (k * blocks))
+    if blocks == 1 or (heavy := staged(heavy, "heavy")).isEmpty():
+        return _by_levels(groups, k, block_items)
+    placed = staged(balanced(heavy, sharding).join(heavy, "item").select("item", "bytes", "shard"), "placed-heavy")
+    held = _sums(placed, k)
+    lights = groups.select("item", "bytes").join(heavy.select("item"), "item", "left_anti")
+    lights = staged(lights.withColumn("block", F.pmod(F.xxhash64("item", F.lit(blocks)), F.lit(blocks))), "lights")
+    while blocks:
+        # Most blocks at once, then fewer and fewer on the sums so far, so that what is left over is that of the last one.
+        left = max(1, blocks // 8) if blocks > 1 else 0
+        room = total - sum(held)
+        part = _filled(lights.filter(F.col("block").between(left, blocks - 1)), _level_up(held, room), room)
+        placed = placed.unionByName(part)
+        held = [x + y for x, y in zip(held, _sums(part, k))]
+        blocks = left
+    return placed.select("item", "shard")
+
+
+def _by_levels(groups: DataFrame, k: int, block_items: int) -> DataFrame:
     items = groups.select("item", F.concat(F.array("bytes"), F.array_repeat(F.lit(0).cast("long"), k - 1)).alias("sums"))
     levels = []
     while True:
-        level, blocks = _level(items, k, sharding.block_items)
+        level, blocks = _level(items, k, block_items)
         levels.append(level)
         if blocks == 1:
             break

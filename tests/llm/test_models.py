@@ -176,3 +176,30 @@ def test_shards(spark, documents, edge_rows, block):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(bytes_.values()) - min(bytes_.values()) <= (2 if block > 7 else max(len(t or "") + 1 for _, t in rows))
     assert sharding.shard(documents(rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block, heavy", [(1024, [0.05]), (1024, [0.3]), (64, [0.1]), (64, [0.2, 0.11, 0.05, 0.02]), (7, [0.3])])
+def test_heavy_groups_are_offset_by_all_blocks(spark, block, heavy):
+    rnd = random.Random(6)
+    sizes = [int(rnd.lognormvariate(6, 1)) + 1 for _ in range(3000)]
+    light = sum(sizes)
+    sizes += [int(h * light / (1 - sum(heavy))) for h in heavy]
+    groups = spark.createDataFrame(list(enumerate(sizes)), "item bigint, bytes bigint")
+    got = sharding.balanced(groups, sharding.Sharding(block_items=block)).collect()
+    assert sorted(r["item"] for r in got) == list(range(len(sizes)))
+    bytes_ = collections.Counter()
+    for r in got:
+        bytes_[r["shard"]] += sizes[r["item"]]
+    # The best that is possible: a shard for each group that holds over a share of what is left, the rest shared evenly.
+    rest, shards = sum(sizes), 8
+    for w in sorted(sizes, reverse=True):
+        if w * shards <= rest:
+            break
+        rest, shards = rest - w, shards - 1
+    even = sorted(bytes_.values())[:shards]
+    assert max(even) <= 1.005 * rest / shards and min(even) >= 0.995 * rest / shards
+
+
+def test_level_up():
+    assert sharding._level_up([0, 0, 0], 9) == [0, 0, 0]
+    assert sharding._level_up([5, 1, 3], 5) == [3, 0, 2] and sharding._level_up([50, 1, 3], 6) == [4, 0, 2]
