@@ -80,9 +80,32 @@ use, compile, sell, or distribute this software, either in source code form or a
 non-commercial, and by any means.""",
 }
 
+# Texts that the scan knows beside those that its SQL lists.
+MORE_TEXTS = {
+    "BSD-3-Clause": TEXTS["BSD-2-Clause"].replace(
+        "THIS SOFTWARE IS PROVIDED",
+        """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED""",
+    ),
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit
+the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do
+so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license
+grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all
+derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code
+generated by a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO
+EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN
+CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+}
+
 
 def templates() -> list[tuple[str, str]]:
     """(licence, text): a notice for each opening and name, the tag line of each licence, then the texts."""
     notices = [(key, f"{opening} {name}.") for key, (name, _) in NAMES.items() for opening in OPENINGS]
     tags = [(key, f"SPDX-License-Identifier: {tag}") for key, (_, tag) in NAMES.items()]
     return [*notices, *tags, *TEXTS.items()]
+
+
+def all_templates() -> list[tuple[str, str]]:
+    return [*templates(), *MORE_TEXTS.items()]

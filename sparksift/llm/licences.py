@@ -4,21 +4,28 @@ A-Z are lower-cased and words are runs of digits, a-z and anything beyond ASCII.
 paragraphs of several lines and, where it has several paragraphs, the whole of it. A unit with |A| distinct bigrams
 reaches the threshold t with a template of |B| only if t / (2 - t) <= |A| / |B| <= (2 - t) / t; templates lie sorted by
 size, and only that range of them is compared. A unit gets its best template.
+
+Passages are runs of words anywhere in the text, over the breaks of lines and paragraphs: of each start the run of highest
+Dice, and of runs that overlap the one that shares most bigrams. One that lies within a unit found is left out.
+A run that reaches the threshold shares at least t / (2 - t) of |B|, so it holds one of any |B| less that and 1 bigrams
+of the template; only texts that have one of these (the longest are taken) are looked through.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import byte_groups, need, table
-from .licence_texts import templates
+from .licence_texts import all_templates, templates
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BREAK = re.compile(rb"\n[ \t\r]*\n")
@@ -41,6 +48,12 @@ def units(raw: bytes) -> Iterator[tuple[str, int, bytes]]:
             yield "text", 0, raw
 
 
+def places(raw: bytes, kind: str) -> list[tuple[int, int]]:
+    """Start and end of each line, or of each part between blank lines."""
+    breaks = [m.span() for m in re.finditer(b"\n" if kind == "line" else BREAK, raw)]
+    return list(zip([0, *(e for _, e in breaks)], [*(s for s, _ in breaks), len(raw)]))
+
+
 class Templates:
     def __init__(self, texts: list[tuple[str, str]], threshold: float = THRESHOLD):
         self.threshold = threshold
@@ -53,6 +66,13 @@ class Templates:
         found.sort(key=lambda x: (x[0], x[1]))
         self.sizes = [x[0] for x in found]
         self.found = found
+        # The fewest bigrams that a passage shares with each template, and bigrams of which it holds one.
+        self.needs = [max(1, math.ceil(threshold / (2 - threshold) * n - 1e-9)) for n in self.sizes]
+        self.anchors: dict[tuple, list[int]] = {}
+        for i, (n, _, grams) in enumerate(found):
+            for g in sorted(grams, key=lambda g: (-len(g[0]) - len(g[1]), g))[: n - self.needs[i] + 1]:
+                self.anchors.setdefault(g, []).append(i)
+        self.anchored = frozenset(self.anchors)
         self.known = frozenset(g for x in found for g in x[2])
         # The fewest bigrams that a unit can share with the smallest template and still reach the threshold.
         self.least = max(1, round(threshold / (2 - threshold) * self.sizes[0] + 0.4999)) if found else 0
@@ -77,7 +97,57 @@ class Templates:
         for kind, n, part in units(raw.lower()):
             if found := self.best(part):
                 out.append({"licence": found[1], "dice": found[0], "unit": kind, "number": n})
-        return out
+        return out + self.passages(raw.lower(), out)
+
+    def passages(self, raw: bytes, units_found: list[dict]) -> list[dict]:
+        taken = {(x["unit"], x["number"]) for x in units_found}
+        words = WORD.findall(raw)
+        seen = self.anchored.intersection(zip(words, words[1:]))
+        if not seen or ("text", 0) in taken:
+            return []
+        pairs = list(zip(words, words[1:]))
+        last: dict[tuple, int] = {}
+        before = np.empty(len(pairs), np.int64)  # where the same bigram stood last
+        for i, g in enumerate(pairs):
+            before[i] = last.get(g, -1)
+            last[g] = i
+        firsts = np.cumsum(before < 0)
+        runs = []
+        for i in sorted({i for g in seen for i in self.anchors[g]}):
+            (size, key, grams), need = self.found[i], self.needs[i]
+            if sum(g in last for g in grams) < need:
+                continue
+            hit = np.fromiter((g in grams for g in pairs), bool, len(pairs))
+            starts = np.flatnonzero(hit)
+            most = (2 - self.threshold) / self.threshold * size
+            # Bigrams that are new to the whole text are new to the run: too many of them up to the last one needed, and it can't do.
+            near = firsts[starts[need - 1 :]] - firsts[starts[: len(starts) - need + 1]] < most + 1
+            for p in starts[: len(near)][near].tolist():
+                length = int(2 * most) + 8
+                while True:
+                    fresh = before[p : p + length] < p
+                    n = np.cumsum(fresh)
+                    if p + length >= len(pairs) or n[-1] > most or (before[p + 1 : p + length] == p).any():
+                        break
+                    length *= 2
+                shared = np.cumsum(fresh & hit[p : p + length])
+                dice = 2.0 * shared / (n + size)
+                e = int(dice.argmax())
+                if dice[e] >= self.threshold:
+                    runs.append((-int(shared[e]), -float(dice[e]), key, p, p + e + 2))
+        used, kept = np.zeros(len(words), bool), []
+        for _, dice, key, lo, hi in sorted(runs):
+            if not used[lo:hi].any():
+                used[lo:hi] = True
+                kept.append((lo, hi, key, -dice))
+        if kept and taken:
+            spans = [m.span() for m in WORD.finditer(raw)]
+            for kind in {k for k, _ in taken}:
+                of_kind = [x for n, x in enumerate(places(raw, kind)) if (kind, n) in taken]
+                begins = [b for b, _ in of_kind]
+                within = lambda lo, hi: (k := bisect_right(begins, spans[lo][0]) - 1) >= 0 and spans[hi - 1][1] <= of_kind[k][1]  # noqa: B023, E731
+                kept = [x for x in kept if not within(x[0], x[1])]
+        return [{"licence": key, "dice": dice, "unit": "passage", "number": n} for n, (_, _, key, dice) in enumerate(sorted(kept))]
 
 
 def licence_scan(docs: DataFrame, texts: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -88,7 +158,7 @@ def licence_scan(docs: DataFrame, texts: list[tuple[str, str]] | None = None, th
     """
     need(docs, [id_col, text_col])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("raw"))
-    shared = docs.sparkSession.sparkContext.broadcast(Templates(templates() if texts is None else texts, threshold))
+    shared = docs.sparkSession.sparkContext.broadcast(Templates(all_templates() if texts is None else texts, threshold))
     kind = pa.list_(pa.struct([("licence", pa.string()), ("dice", pa.float64()), ("unit", pa.string()), ("number", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

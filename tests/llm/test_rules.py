@@ -1,11 +1,12 @@
 """Quality rules, licences, url filter, decontamination on small frames."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
 
 from sparksift.llm import decontaminate as dc
-from sparksift.llm import licences, quality, url_filter
+from sparksift.llm import licence_texts, licences, quality, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -60,6 +61,30 @@ def test_licences(spark, documents, edge_rows):
     assert licences.licence_scan(documents(rows).limit(0)).count() == 0
 
 
+
+def test_licences_in_passages(spark, documents):
+    mit = " ".join(dict(licences.templates())["MIT"].split())
+    three = mit.replace(" The above copyright", "\n\nThe above copyright").replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    bsd = licence_texts.MORE_TEXTS["BSD-3-Clause"]
+    words = " ".join(f"word{k}" for k in range(120))
+    notice = "This text was released under the MIT License. Please see the file for the details."
+    rows = [(1, three), (2, f"{words}\n\n{three}\n\n{words}"), (3, notice), (4, f"{words} {mit} {words} {notice}"), (5, bsd), (6, f"{words}\n\n{bsd}"), (7, "Any text.\nReleased under the MIT License.\nMore."), (8, f"{words} under the license of the MIT")]
+    got = {r["doc_id"]: [(m["licence"], m["unit"]) for m in r["matches"]] for r in licences.licence_scan(documents(rows)).collect()}
+    assert ("MIT", "passage") in got[2] and got[3] == [("MIT", "passage")] and got[4] == [("MIT", "passage")] * 2
+    assert {k for k, _ in got[1]} == {"MIT"} and {k for k, _ in got[5]} == {k for k, _ in got[6]} == {"BSD-3-Clause"}
+    assert got[7] == [("MIT", "line")] and got[8] == []
+
+
+def test_passages_equal_brute_force():
+    rnd = random.Random(8)
+    own = licences.Templates([("A", "a b c d e"), ("B", "b c a c e f g"), ("C", "d d e")])
+    for _ in range(300):
+        text = [rnd.choice("abcdefgxy") for _ in range(rnd.randint(2, 30))]
+        most = max(dice(" ".join(text[i:j]), t) for t in ("a b c d e", "b c a c e f g", "d d e") for i in range(len(text)) for j in range(i + 1, len(text) + 1))
+        got = own.passages(" ".join(text).encode(), [])
+        assert bool(got) == (most >= 0.8) and all(0.8 <= m["dice"] <= most + 1e-9 for m in got)
+
+
 def test_url_filter(spark):
     urls = [(1, None), (2, ""), (3, "no scheme"), (4, "HTTP://WWW.Example.COM/en/x?q"), (5, "http://a.example.com/en/"), (6, "http://com/x"), (7, "http://acom.net/fr/1"), (8, "http://a.com"), (9, "x://b.net/es/2#f"), (10, "http://é.net/ES/"), (10, "http://é.net/ES/")]
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in urls], "page_id bigint, url string, host string, items string")
