@@ -334,11 +334,16 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = staged(near_duplicates(docs, id_col, text_col, join), "found")
     kept = found.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("id"), F.col("text_hash").alias("th"))).alias("k"), F.count("*").alias("c")).select("k.id", "k.th")
     wordless = found.filter("class_key IS NULL").select(F.col(id_col).alias("id"), F.col("text_hash").alias("th"))
-    kept = kept.unionByName(wordless).distinct().select(F.col("id").alias(f"{OWN}id"), F.col("th").alias(f"{OWN}th"))
-    out = docs.join(kept, docs[id_col].eqNullSafe(F.col(f"{OWN}id")) & (F.xxhash64(docs[text_col]) == F.col(f"{OWN}th")), "left_semi")
-    # Equal rows share id and text; only where there are any is a shuffle of the texts needed to keep one.
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        keys = keys.distinct().select(F.col("id").alias(f"{OWN}id"), F.col("th").alias(f"{OWN}th"))
+        return docs.join(keys, docs[id_col].eqNullSafe(F.col(f"{OWN}id")) & (F.xxhash64(docs[text_col]) == F.col(f"{OWN}th")), "left_semi")
+
+    # Equal rows share id and text; only where there are any is a shuffle of the texts needed to keep one. Rows without words all stay.
     repeated = found.filter("class_key IS NOT NULL").groupBy(id_col, "text_hash").agg(F.count("*").alias("c")).filter("c > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates([id_col, text_col])
+    if repeated.isEmpty():
+        return rows_of(kept.unionByName(wordless))
+    return rows_of(kept).dropDuplicates([id_col, text_col]).unionByName(rows_of(wordless))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,6 +84,15 @@ def test_join_edges(spark, documents, edge_rows):
     assert jaccard_join.one_of_each(documents(edge_rows).limit(0)).count() == 0
 
 
+
+def test_rows_without_words_stay_beside_repeated_rows(spark, documents):
+    bare = [(None, ""), (None, ""), (None, None), (None, None), (7, " . "), (7, " . ")]
+    worded = (1, "one two three four five six seven eight nine ten")
+    for more in ([worded], [worded, worded]):
+        got = [(r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(documents(bare + more)).collect()]
+        assert sorted(got, key=str) == sorted([*bare, worded], key=str)
+
+
 def test_shingles_and_minhashes():
     texts = [t.encode() for t in copies()] + [b"", b"...", b"one two", b"One TWO", b"one", b"a b c d e", "é à".encode()]
     keys, offsets = jaccard_join.shingles(texts)
