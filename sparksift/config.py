@@ -9,12 +9,10 @@ from dataclasses import dataclass
 class Config:
     """Thresholds flag at `high` or more and clear at `low` or less; an export part holds at most max_links links and max_bytes bytes."""
 
-    # Concurrency of calls and checks, caps of an export part, monthly quota of tokens.
+    # Concurrency of calls, caps of an export part.
     ai_concurrency: int = 12
-    check_concurrency: int = 20
     max_links: int = 1_000
     max_bytes: int = 24_000_000
-    monthly_tokens: int = 1_500_000_000
     low: float = 0.05
     high: float = 0.95
     fast_mode: bool = False
@@ -24,4 +22,4 @@ class Config:
 
 
 CLOUD = Config()
-LOCAL = Config(fast_mode=True, ai_concurrency=3, check_concurrency=10)
+LOCAL = Config(fast_mode=True, ai_concurrency=3)

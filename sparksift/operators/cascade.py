@@ -41,15 +41,29 @@ def stub_client(host: str, excerpt: str, role: str) -> str:
 
 
 def call_model(pages: DataFrame, role: str, client: Client, config: Config) -> DataFrame:
-    """host, excerpt to host, role, raw, tokens. At most ai_concurrency calls run at once; the result is written, so nothing calls again."""
+    """host, excerpt to host, role, raw, tokens. At most ai_concurrency calls run at once; the result is written, so nothing calls again.
+
+    Hosts whose reply is invalid are asked again, json_retries times at most; tokens count all of their calls.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             raw = [client(h, e or "", role) for h, e in zip(f["host"], f["excerpt"])]
             yield pd.DataFrame({"host": f["host"], "role": role, "raw": raw, "tokens": [len((e or "").split()) + len(r.split()) for e, r in zip(f["excerpt"], raw)]})
 
-    asked = pages.select("host", "excerpt").repartition(config.ai_concurrency)
-    return written(asked.mapInPandas(run, "host string, role string, raw string, tokens long"), f"replies-{role}")
+    def ask(rows: DataFrame) -> DataFrame:
+        asked = rows.select("host", "excerpt").repartition(config.ai_concurrency)
+        return written(asked.mapInPandas(run, "host string, role string, raw string, tokens long"), f"replies-{role}")
+
+    replies = ask(pages)
+    for _ in range(config.json_retries):
+        invalid = replies.filter(~reply_fields(F.col("raw"))["valid"]).select("host")
+        if invalid.isEmpty():
+            break
+        again = ask(pages.join(invalid, "host", "left_semi")).select("host", F.col("raw").alias("new"), F.col("tokens").alias("more"))
+        both = replies.join(again, "host", "left").select("host", "role", F.coalesce("new", "raw").alias("raw"), (F.col("tokens") + F.coalesce("more", F.lit(0))).alias("tokens"))
+        replies = written(both, f"replies-{role}")
+    return replies
 
 
 def consensus(primary: Column, validator: Column, tiebreaker: Column) -> dict[str, Column]:

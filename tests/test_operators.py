@@ -84,6 +84,20 @@ def test_tiebreaker_runs_on_disagreement_only(spark):
     assert got == {"a.com": ("flag", "agreed"), "b.com": ("flag", "tiebreaker")}
 
 
+
+def test_invalid_replies_are_asked_for_again(spark, tmp_path):
+    def client(host, excerpt, role):
+        calls = tmp_path / f"{host}-{role}"
+        n = len(calls.read_text()) if calls.exists() else 0
+        calls.write_text("x" * (n + 1))
+        return json.dumps({"verdict": "flag", "confidence": 0.8}) if n >= int(excerpt) else "no"
+
+    pages = spark.createDataFrame([("a.com", "0"), ("b.com", "2"), ("c.com", "9")], "host string, excerpt string")
+    got = {r["host"]: (r["raw"], r["tokens"]) for r in cascade.call_model(pages, "primary", client, Config()).collect()}
+    assert {h: len((tmp_path / f"{h}-primary").read_text()) for h in got} == {"a.com": 1, "b.com": 3, "c.com": 3}
+    assert "flag" in got["b.com"][0] and got["c.com"] == ("no", 6)
+
+
 def test_state(spark):
     log = spark.createDataFrame([("a", 1, 1, "reported"), ("a", 2, 2, "blocked"), ("a", 2, 3, "reopened"), ("b", 1, 4, "blocked"), ("b", 2, 5, "blocked")], "host string, at int, id int, status string")
     assert {r["host"]: r["status"] for r in state.latest(log, "host", "at", "id").collect()} == {"a": "reopened", "b": "blocked"}
