@@ -4,7 +4,8 @@ A-Z are lower-cased and words are runs of digits, letters a-z and anything beyon
 get numbers, its windows are kept by a hash of those numbers, and both go to the executors in one broadcast.
 A document's words become numbers (0: not in the benchmark), windows free of 0 are hashed and looked up, and
 each hit is verified number by number. Broadcasting is for a benchmark under a byte bound; a larger one is cut
-into blocks under it that are scanned one after the other, and the hits of the blocks are joined per row.
+into blocks by a running sum of bytes, which are fetched and scanned one after the other. The hits of all blocks are
+put together for each row before anything is cut, so the result doesn't depend on the blocks.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import OWN, byte_groups, need, staged, table
 
@@ -91,11 +93,32 @@ def spans(raw: bytes, hit: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(bench: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[list[tuple[str, bytes]]]:
-    """The benchmark's distinct texts in blocks of at most block_bytes each. It is a stated query set: its size is that of the tests, not of the corpus."""
-    rows = bench.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("binary").alias("t")).filter("i IS NOT NULL AND t IS NOT NULL").distinct()
-    held = [(r["i"], bytes(r["t"])) for r in rows.toLocalIterator()]
-    return [held[lo:hi] for lo, hi in byte_groups([len(t) for _, t in held], block_bytes)]
+def without(raw: bytes, cuts: list[tuple[int, int]]) -> bytes:
+    """raw with a blank for each of the spans."""
+    for a, b in reversed(cuts):
+        raw = raw[:a] + b" " + raw[b:]
+    return raw
+
+
+class Blocks:
+    """The benchmark's distinct texts in blocks of about block_bytes (one item more at most). The driver holds one block at a time."""
+
+    def __init__(self, bench: DataFrame, item_col: str, text_col: str, block_bytes: int):
+        rows = bench.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("binary").alias("t")).filter("i IS NOT NULL AND t IS NOT NULL").distinct()
+        self.rows = staged(rows.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id(), "b": F.octet_length("t").cast("long")}), "benchmark")
+        total = self.rows.agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
+        self.n = max(1, -(-total // block_bytes))
+        if self.n > 1:
+            sums = self.rows.groupBy("part").agg(F.sum("b").alias("s"))
+            before = sums.select("part", (F.sum("s").over(Window.orderBy("part")) - F.col("s")).alias("before"))  # a row for each part of the scan
+            within = F.sum("b").over(Window.partitionBy("part").orderBy("at")) - F.col("b")
+            numbered = self.rows.withColumn("within", within).join(F.broadcast(before), "part")
+            self.rows = staged(numbered.select("i", "t", ((F.col("before") + F.col("within")) / block_bytes).cast("long").alias("block")), "benchmark-blocks")
+
+    def indexes(self, window: int) -> Iterator[WindowIndex]:
+        for k in range(self.n):
+            part = self.rows.filter(F.col("block") == k) if self.n > 1 else self.rows
+            yield WindowIndex([(r["i"], bytes(r["t"])) for r in part.select("i", "t").collect()], window)
 
 
 def _scan(docs: DataFrame, index, text_col: str, cleaned: bool) -> DataFrame:
@@ -124,8 +147,7 @@ def _scan(docs: DataFrame, index, text_col: str, cleaned: bool) -> DataFrame:
                     edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
                     runs.append(edges.reshape(-1, 2).tolist())
                     while cleaned and cuts:
-                        for a, b in reversed(cuts):
-                            raw = raw[:a] + b" " + raw[b:]
+                        raw = without(raw, cuts)
                         hit, _ = own.scan(words(raw))
                         cuts = spans(raw, hit)
                     texts.append(raw)
@@ -138,62 +160,113 @@ def _scan(docs: DataFrame, index, text_col: str, cleaned: bool) -> DataFrame:
     return docs.mapInArrow(run, out)
 
 
+def _hits(rows: DataFrame, parts: Blocks, window: int) -> DataFrame:
+    """row, items, runs of word numbers of the rows that any block hits; rows: OWN row, OWN text. Each block is scanned and written before the next is fetched."""
+    sc, out = rows.sparkSession.sparkContext, None
+    for index in parts.indexes(window):
+        shared = sc.broadcast(index)
+        one = _scan(rows, shared, f"{OWN}text", False).filter(F.col(f"{OWN}n_hit") > 0)
+        one = staged(one.select(f"{OWN}row", f"{OWN}items", f"{OWN}runs"), "hits")
+        shared.destroy()
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy(f"{OWN}row").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"{OWN}items")))).alias(f"{OWN}items"),
+        F.flatten(F.collect_list(f"{OWN}runs")).alias(f"{OWN}runs"),
+    )
+
+
+def _marked(rows: DataFrame, cut: bool) -> DataFrame:
+    """rows (OWN text, OWN runs) with n_words, n_hit and byte spans of the runs of all blocks; with cut, the text with a blank for each span."""
+    place, at = rows.columns.index(f"{OWN}text"), rows.columns.index(f"{OWN}runs")
+    out = T.StructType([*rows.schema.fields, T.StructField(f"{OWN}n_words", T.LongType()), T.StructField(f"{OWN}n_hit", T.LongType()), T.StructField(f"{OWN}spans", T.ArrayType(T.ArrayType(T.LongType())))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
+            for lo, hi in byte_groups(sizes, SLICE_BYTES):
+                part = batch.slice(lo, hi - lo)
+                n_words, n_hit, where, texts = [], [], [], []
+                for raw, runs in zip(part.column(place).cast(pa.binary()).to_pylist(), part.column(at).to_pylist()):
+                    hit = np.zeros(len(words(raw or b"")), bool)
+                    for a, b in runs or ():
+                        hit[a:b] = True
+                    cuts = spans(raw, hit) if hit.any() else []
+                    n_words.append(len(hit))
+                    n_hit.append(int(hit.sum()))
+                    where.append([list(x) for x in cuts])
+                    texts.append(without(raw, cuts) if cut else raw)
+                arrays = list(part.columns)
+                arrays[place] = pa.array(texts, pa.binary()).cast(pa.string())
+                arrays += [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(where, pa.list_(pa.list_(pa.int64())))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in out.fields])
+
+    return rows.mapInArrow(run, out)
+
+
 def scan(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row: id, n_words long, n_hit long, items array of item ids (as strings, sorted), spans array of [from, to) byte offsets
-    (with several blocks, those of each block, which may overlap).
+    """Per row: id, n_words long, n_hit long, items array of item ids (as strings, sorted), spans array of [from, to) byte offsets.
 
     A null or empty text has no words and no hits; null items and items without words have no windows; repeated items
     count once, repeated documents each give a row. Other columns are left out. Empty tables give an empty result, or
-    no hits.
+    no hits. Over several blocks each row's hits are put together; the result is that of one block.
     """
     need(docs, [id_col, text_col])
     need(bench, [item_col, item_text_col])
-    sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).alias(f"{OWN}id"), F.col(text_col).alias(f"{OWN}text"))
-    parts = blocks(bench, item_col, item_text_col, block_bytes)
-    names = ["n_words", "n_hit", "items", "spans"]
-    if len(parts) <= 1:
-        df = _scan(rows, sc.broadcast(WindowIndex(parts[0] if parts else [], window)), f"{OWN}text", False)
-        return df.select(F.col(f"{OWN}id").alias(id_col), *[F.col(f"{OWN}{c}").alias(c) for c in names])
-    # Over the bound: a scan for each block over the same numbered rows, then the blocks' hits of a row together.
-    rows = staged(rows.withColumn(f"{OWN}row", F.monotonically_increasing_id()), "decontaminate")
-    hits = None
-    for part in parts:
-        one = _scan(rows, sc.broadcast(WindowIndex(part, window)), f"{OWN}text", False).drop(f"{OWN}text")
-        hits = one if hits is None else hits.unionByName(one)
-    merged = hits.groupBy(f"{OWN}row").agg(
-        F.first(f"{OWN}id").alias(id_col),
-        F.first(f"{OWN}n_words").alias("n_words"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list(f"{OWN}items")))).alias("items"),
-        F.array_distinct(F.flatten(F.collect_list(f"{OWN}spans"))).alias("spans"),
-        F.flatten(F.collect_list(f"{OWN}runs")).alias("runs"),
-    )
-    covered = F.array_distinct(F.flatten(F.transform("runs", lambda x: F.sequence(x[0], x[1] - 1))))
-    return merged.select(id_col, "n_words", F.size(covered).cast("long").alias("n_hit"), "items", F.sort_array("spans").alias("spans"))
+    parts = Blocks(bench, item_col, item_text_col, block_bytes)
+    if parts.n == 1:
+        df = _scan(rows, docs.sparkSession.sparkContext.broadcast(next(parts.indexes(window))), f"{OWN}text", False)
+    else:
+        rows = staged(rows.withColumn(f"{OWN}row", F.monotonically_increasing_id()), "decontaminate")
+        df = _marked(rows.join(_hits(rows, parts, window), f"{OWN}row", "left"), False).withColumn(f"{OWN}items", F.coalesce(f"{OWN}items", F.array().cast("array<string>")))
+    return df.select(F.col(f"{OWN}id").alias(id_col), *[F.col(f"{OWN}{c}").alias(c) for c in ("n_words", "n_hit", "items", "spans")])
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, action: str = "spans", text_col: str = "text", chars_col: str | None = "n_chars", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs, all columns, without what the benchmark holds: action "spans" takes the hit words out of the text (a blank
-    stands for each run, and the text is scanned again until no window is left), "documents" leaves the hit rows out.
+    stands for each run, and the text is scanned again, against all blocks, until no window is left), "documents"
+    leaves the hit rows out.
 
     Null texts and rows without hits stay as they are, byte for byte; chars_col gets the new length where the text changed.
+    Repeated rows each stay. An empty benchmark changes nothing; an empty table gives an empty one.
     """
     if action not in ("spans", "documents"):
         raise ValueError(action)
     need(docs, [text_col])
+    need(bench, [item_col, item_text_col])
     columns = docs.columns
-    df = docs
-    for part in blocks(bench, item_col, item_text_col, block_bytes):
-        df = _scan(df, docs.sparkSession.sparkContext.broadcast(WindowIndex(part, window)), text_col, action == "spans")
+    parts = Blocks(bench, item_col, item_text_col, block_bytes)
+    if parts.n == 1:
+        df = _scan(docs, docs.sparkSession.sparkContext.broadcast(next(parts.indexes(window))), text_col, action == "spans")
+        if action == "documents":
+            return df.filter(F.col(f"{OWN}n_hit") == 0).select(*columns)
+        changed = F.col(f"{OWN}n_hit") > 0
+    else:
+        df = staged(docs.withColumn(f"{OWN}row", F.monotonically_increasing_id()), "decontaminate")
+        live = df.select(f"{OWN}row", F.col(text_col).alias(f"{OWN}text"))
         if action == "documents":
-            df = df.filter(F.col(f"{OWN}n_hit") == 0)
-        elif chars_col and chars_col in columns:
-            df = df.withColumn(chars_col, F.when(F.col(f"{OWN}n_hit") > 0, F.length(text_col)).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType))
-        df = df.select(*columns)
-    return df
+            return df.join(_hits(live, parts, window).select(f"{OWN}row"), f"{OWN}row", "left_anti").select(*columns)
+        # A round scans the rows that the one before cut, against all blocks; a row's last text stands.
+        done, number = None, 0
+        while True:
+            cut = _marked(live.join(_hits(live, parts, window), f"{OWN}row"), True)
+            live = staged(cut.select(f"{OWN}row", f"{OWN}text"), "cut")
+            if live.isEmpty():
+                break
+            one = live.withColumn(f"{OWN}round", F.lit(number))
+            done, number = one if done is None else done.unionByName(one), number + 1
+        if done is None:
+            return df.select(*columns)
+        last = done.groupBy(f"{OWN}row").agg(F.max_by(f"{OWN}text", f"{OWN}round").alias(f"{OWN}cut"))
+        changed = F.col(f"{OWN}cut").isNotNull()
+        df = df.join(last, f"{OWN}row", "left").withColumn(text_col, F.coalesce(f"{OWN}cut", text_col))
+    if chars_col and chars_col in columns:
+        df = df.withColumn(chars_col, F.when(changed, F.length(text_col)).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType))
+    return df.select(*columns)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents with its hit words and items. Null and empty texts have no words; an empty benchmark gives no hits, an empty table no rows."""
     found = scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",

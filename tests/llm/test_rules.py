@@ -133,3 +133,56 @@ def test_decontamination(spark, documents, edge_rows):
     assert text[40] == "before   after a   end" and text[41] == rows[-2][1] and text[1] is None
     assert dc.decontaminate(docs, bench, "documents").count() == sum(brute(t, items)[1] == 0 for _, t in rows)
     assert dc.scan(docs.limit(0), bench).count() == 0 and dc.scan(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
+
+
+def plainly_cut(text, items):
+    """Hit words of all items out, a blank for each run, again until none is left."""
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    lower = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x)
+    lists = [pattern.findall(lower(t or "")) for _, t in items]
+    while True:
+        found = list(pattern.finditer(lower(text)))
+        w, hit = [m[0] for m in found], set()
+        for v in lists:
+            n = min(10, len(v))
+            windows = {tuple(v[k : k + n]) for k in range(len(v) - n + 1)} if n else set()
+            hit |= {k + j for k in range(len(w) - n + 1) if n and tuple(w[k : k + n]) in windows for j in range(n)}
+        if not hit:
+            return text
+        for k in sorted(hit, reverse=True):
+            if k - 1 not in hit:
+                last = k
+                while last + 1 in hit:
+                    last += 1
+                text = text[: found[k].start()] + " " + text[found[last].end() :]
+
+
+def test_removal_is_that_of_one_block(spark, documents):
+    """Cuts of one block's windows may join words to a window of another; several blocks end as one does."""
+    rnd = random.Random(9)
+    items = [(1, "a b c d"), (2, "x y"), (3, "p q r s t u v w x1 y1 z1"), (4, "m n"), (5, None), (6, "")]
+    rows = [(1, "zero a b x y c d end"), (2, "a b x m n y c d"), (3, "A, B! c x y d"), (4, None), (5, ""), (6, "p q r s m n t u v w x1 y1 z1 tail"), (6, "no hit here")]
+    rows += [(100 + k, " ".join(rnd.choice("a b c d x y m n p q".split()) for _ in range(rnd.randint(0, 40)))) for k in range(60)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents(rows).withColumn("n_chars", F.lit(-1).cast("long"))
+    want = sorted((i or -1, None if t is None else plainly_cut(t, items)) for i, t in rows if t is not None)
+    for size in (1 << 20, 9):
+        got = dc.decontaminate(docs, bench, block_bytes=size)
+        assert got.columns == docs.columns and got.filter("text IS NULL").count() == 1
+        held = got.collect()
+        assert sorted((r["doc_id"] or -1, r["text"]) for r in held if r["text"] is not None) == want
+        before = {(i, t) for i, t in rows}
+        assert all(r["n_chars"] == (-1 if (r["doc_id"], r["text"]) in before else len(r["text"])) for r in held if r["text"] is not None)
+        assert dc.scan(got, bench, block_bytes=size).filter("n_hit > 0").isEmpty()
+        left = dc.decontaminate(docs, bench, "documents", block_bytes=size)
+        assert sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == sorted((i, t or "") for i, t in rows if t is None or plainly_cut(t, items) == t)
+    assert dc.decontaminate(docs.limit(0), bench, block_bytes=7).count() == 0
+    assert dc.decontaminate(docs, bench.limit(0), block_bytes=7).count() == len(rows)
+
+
+def test_the_driver_holds_one_block(spark):
+    items = [(k, f"word{k} " * 12) for k in range(50)]
+    parts = dc.Blocks(spark.createDataFrame(items, "item_id bigint, text string"), "item_id", "text", 400)
+    sizes = [r["s"] for r in parts.rows.groupBy("block").agg(F.sum(F.octet_length("t")).alias("s")).collect()]
+    assert parts.n > 5 and sum(sizes) == sum(len(t) for _, t in items) and max(sizes) <= 400 + max(len(t) for _, t in items)
+    assert sum(1 for _ in parts.indexes(10)) == parts.n
