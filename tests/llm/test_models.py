@@ -50,15 +50,80 @@ def test_toxicity_held_out(spark, documents):
         assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and got[i]["predicted"] == y == int(got[i]["score"] >= 0.5)
 
 
-def test_counterfactual_penalty_closes_the_gap():
-    rows = labelled()
-    both = [toxicity.featured(t.encode(), toxicity.IDENTITY_TERMS) for _, t, _ in rows]
-    gaps = []
-    for strength in (0.0, 30.0):
-        model = toxicity.fit([a for a, _ in both], [b for _, b in both], [y for _, _, y in rows], toxicity.Training(counterfactual=strength))
-        gaps.append(abs(model.logit(b"lorem women home") - model.logit(b"lorem men home")))
-        assert model.score(b"lorem scumbag home") > 0.5
-    assert gaps[1] < 0.5 * gaps[0]
+def biased(n=400, seed=2):
+    """Labels that lean on one group: most texts that name it are toxic, some of them without any insult."""
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        words, toxic = [rnd.choice(["lorem", "ipsum", "dolor", "sit", "amet", "walk", "home"]) for _ in range(12)], i % 3 == 0
+        if toxic:
+            words[3] = "women"
+            if i % 2:
+                words[7] = "scumbag"
+        elif i % 20 == 1:
+            words[3] = "women"
+        out.append((i, " ".join([*words, f"n{i}"]), int(toxic)))
+    return out
+
+
+def mentions():
+    """Neutral sentences that name a group."""
+    return [(10_000 + k, f"lorem {t} ipsum walk home {k}") for k, t in enumerate(t for kind in toxicity.IDENTITY_TERMS for t in kind)]
+
+
+def test_neutral_mentions_are_no_longer_toxic(spark, documents):
+    """Through the operator: false positives on group mentions with and without the penalty, and toxic words that stay."""
+    rows = biased()
+    docs, labels = frames(spark, documents, [*rows, *((i, t, None) for i, t in mentions()), (20_000, "lorem scumbag home", None)])
+    labels = labels.filter("toxic IS NOT NULL")
+    wrong, gaps = [], []
+    for strength in (0.0, toxicity.Training().counterfactual):
+        training = toxicity.Training(counterfactual=strength)
+        got = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels, training=training).collect()}
+        wrong.append(sum(got[i]["predicted"] for i, _ in mentions()))
+        gaps.append(abs(got[10_000]["score"] - got[10_001]["score"]))
+        assert got[20_000]["predicted"] == 1
+    assert wrong[0] > 0 == wrong[1] and gaps[1] < 0.2 * gaps[0]
+
+
+def test_counterfactual_pairs():
+    identity = (("women", "men", "girls"), ("gay", "straight"))
+    f = lambda *terms: {x for t in terms for x in toxicity.features(t.encode())}
+    got = toxicity.counterfactuals(b"two Women and gay friends", identity)
+    assert [(set(a), set(b)) for a, b in got] == [(f("gay"), f("straight")), (f("women"), f("men")), (f("women"), f("girls"))]
+    plain = toxicity.counterfactuals(b"no such term in here", identity)
+    assert len(plain) in (3, 6) and all(set(a) | set(b) <= f(*identity[0], *identity[1]) for a, b in plain) and plain[0][0] == []
+    assert toxicity.counterfactuals(b"", identity) == [] == toxicity.counterfactuals(b"words", ())
+
+
+def test_fit_is_the_optimum_over_all_features(spark, documents):
+    """By the conditions of the optimum, written plainly over every feature of the texts; the working set starts small."""
+    rows = labelled(90)
+    docs, labels = frames(spark, documents, [*rows, *((1000 + i, t, y) for i, t, y in rows[:9])])
+    training = toxicity.Training(batch=8, tolerance=1e-4)
+    model = toxicity.train(docs, labels, training=training)
+    unique = {(t, y) for i, t, y in [*rows, *((1000 + i, t, y) for i, t, y in rows[:9])] if zlib.crc32(str(i).encode()) % 5}
+    texts = sorted(unique)
+    sets = [toxicity.featured(set(toxicity.words(t.encode()))) for t, _ in texts]
+    pairs = [p for t, _ in texts for p in toxicity.counterfactuals(t.encode(), training.identity)]
+    ids = sorted(set().union(*sets, *(set(a) | set(b) for a, b in pairs)))
+    x = np.array([[f in s for f in ids] for s in sets], float)
+    d = np.array([[(f in a) - (f in b) for f in ids] for a, b in ((set(a), set(b)) for a, b in pairs)], float)
+    y = np.array([y for _, y in texts], float)
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+
+    # The problem is convex: these conditions over all features hold at the optimum alone.
+    got = np.array([model.weights.get(f, 0.0) for f in ids])
+    g = weight * (1 / (1 + np.exp(-(x @ got + model.bias))) - y)
+    grad = x.T @ g + 2 * training.counterfactual / len(d) * d.T @ (d @ got) + training.l2 * got
+    assert set(model.weights) <= set(ids) and abs(g.sum()) < 1e-6
+    assert (np.abs(grad[got == 0]) <= training.l1 + 1e-6).all() and np.abs(grad + training.l1 * np.sign(got))[got != 0].max() < 1e-6
+
+
+def test_pairs_on_the_driver_tables(spark):
+    rows = toxicity.labelled_texts(table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels"))
+    n, pairs = rows.agg(F.count("*"), F.sum(F.size("pairs"))).first()
+    assert n > 0 and pairs >= n
 
 
 def test_toxicity_edges(spark, documents, edge_rows):
