@@ -140,7 +140,7 @@ def _chunks(docs: DataFrame, path: str, buckets: int, chunk_bytes: int) -> DataF
         stream = place[stream] if len(stream) else stream
         spelt = []
         for lo in range(0, len(order), 50_000):
-            spelt += own.encode_batch([" " + vocabulary[k].decode() for k in order[lo : lo + 50_000]])
+            spelt += own.encode_batch([b" " + vocabulary[k] for k in order[lo : lo + 50_000]])
         sub_lengths = np.array([len(x) // 4 for x in spelt], np.int64)
         sub_offsets = np.concatenate(([0], np.cumsum(sub_lengths)))
         subs = np.frombuffer(b"".join(spelt), "<u4").astype(np.uint16)

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 from array import array
 
@@ -6,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from sparksift.llm.bpe import ForcedBoundaryCodec, digests, encode_decode
+from sparksift.llm.bpe import ForcedBoundaryCodec, byte_alphabet, digests, encode_decode
 from sparksift.llm.common import table
 from sparksift.llm.token_counts import LengthCounter, safe_parts, token_counts
 
@@ -22,20 +23,41 @@ def texts():
 
 def test_encoding_equals_the_library(texts):
     own, lib = ForcedBoundaryCodec(BYTES, 500), Tokenizer.from_file(BYTES)
-    assert own.ranked and own.space_cuts and own.sign_cuts
+    assert own.ranked
     for lo in range(0, len(texts), 100):
         part = texts[lo : lo + 100]
         want = [e.ids for e in lib.encode_batch(part, add_special_tokens=False)]
-        got = own.encode_batch(part)
+        got = own.encode_batch([t.encode() for t in part])
         assert [array("I", x).tolist() for x in got] == want
         assert [own.decode(x) for x in got] == [lib.decode(x, skip_special_tokens=False) for x in want] == part
 
 
-def test_cuts_are_forced():
-    own = ForcedBoundaryCodec(BYTES)
-    assert own.forced("v", "q") and not own.forced("t", "h")
-    cut = own.fragments("vq" * 400)
-    assert len(cut) > 5 and "".join(cut) == "vq" * 400
+def test_cuts_are_forced(texts):
+    """Every cut parts a byte pair that no token holds, and the fragments are the text."""
+    own, lib = ForcedBoundaryCodec(BYTES), Tokenizer.from_file(BYTES)
+    back = byte_alphabet()
+    tokens = [bytes(back[c] for c in t) for t, i in lib.get_vocab(with_added_tokens=False).items()]
+    inside = {t[k : k + 2] for t in tokens for k in range(len(t) - 1)}
+    assert b"\xa0 " in inside and b"vq" not in inside and b"th" in inside
+    n = 0
+    for t in [*texts, "vq" * 400, "12vq!?'s it's", "à b\u00a0 c"]:
+        raw = t.encode()
+        cut, at = own.fragments([raw])
+        assert b"".join(cut) == raw and at == [0, len(cut)]
+        ends = list(itertools.accumulate(map(len, cut)))[:-1]
+        assert all(raw[e - 1 : e + 1] not in inside for e in ends)
+        n += len(ends)
+    assert n > len(texts) and len(own.fragments([b"vq" * 400])[0]) > 300
+    assert own.fragments([b"", b"a b", b""]) == ([b"a", b" b"], [0, 0, 2, 2])
+
+
+def test_random_bytes_of_latin_text(texts):
+    """Characters drawn freely, so that all classes stand side by side."""
+    own, lib, rnd = ForcedBoundaryCodec(BYTES), Tokenizer.from_file(BYTES), random.Random(11)
+    signs = [*map(chr, range(256)), "'s", "'re", "\u3000", "\u2028", "\u200b", "中", "e\u0301", "<|endoftext|>"]
+    held = ["".join(rnd.choices(signs, k=rnd.randint(1, 60))) for _ in range(3000)] + ["".join(rnd.choices("ab' !?1 \n'sté", k=30)) for _ in range(5000)]
+    got = own.encode_batch([t.encode() for t in held])
+    assert [array("I", x).tolist() for x in got] == [e.ids for e in lib.encode_batch(held, add_special_tokens=False)]
 
 
 def test_counts_equal_the_library(texts):
