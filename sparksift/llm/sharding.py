@@ -169,31 +169,32 @@ def _by_levels(groups: DataFrame, k: int, block_items: int) -> DataFrame:
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sharding: Sharding = Sharding()) -> DataFrame:
     """Per row: id, size long (UTF-8 bytes and 1), text_crc32 long, shard int, slot long (gapless from 0 in each shard).
 
-    A null text counts as empty. Rows of equal text (told by two 64-bit hashes, the size and the CRC) share a shard, so
-    a group of more than a shard's share of all bytes makes its shard the largest. Repeated rows and null ids are
+    A null text counts as empty. Rows of equal text (told by a 64-bit hash) share a shard, so a group of more than a
+    shard's share of all bytes makes its shard the largest. A group is known by its text's hash, which orders groups
+    and deals them to blocks, and slots follow (id, size, crc): the result depends on the rows alone, not on how they
+    are partitioned. Rows that agree in these are alike in all that is returned. Repeated rows and null ids are
     carried; other columns are left out. An empty table gives an empty one.
     """
     need(docs, [id_col, text_col])
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"))
-    # Rows are numbered in the parts of the scan, which know nothing of texts: a group of copies is spread over them.
-    rows = staged(rows.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), "sizes")
-    key = ["h", "g", "size", "text_crc32"]
-    sums = rows.groupBy(*key).agg(F.sum("size").alias("bytes"))
-    # Items are numbered once and for all by writing them.
-    groups = staged(sums.withColumn("item", F.monotonically_increasing_id()), "groups")
+    rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("item"))
+    rows = staged(rows.withColumn("at", F.monotonically_increasing_id()), "sizes")
+    groups = staged(rows.groupBy("item").agg(F.sum("size").alias("bytes")), "groups")
     if groups.isEmpty():
         return rows.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit(None).cast("int").alias("shard"), F.lit(None).cast("long").alias("slot"))
-    dealt = groups.select("item", *key).join(balanced(groups, sharding), "item").drop("item")
-    placed = staged(rows.join(dealt, key).select("id", "size", "text_crc32", "shard", "part", "at"), "placed")
+    placed = rows.join(balanced(groups, sharding), "item").drop("item")
+    # Rows in order of their slots, in as many parts as there are partitions; `at` only parts rows that are alike.
+    order = ["shard", "id", "size", "text_crc32", "at"]
+    placed = staged(placed.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "placed")
     # A slot is the rows of its shard in earlier parts, and those before it in its own.
     counts = placed.groupBy("shard", "part").agg(F.count("*").alias("n"))
-    before = counts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("before"))
-    within = F.row_number().over(Window.partitionBy("shard", "part").orderBy("at")) - 1
+    before = counts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("before"))  # a row for each shard and part
+    within = F.row_number().over(Window.partitionBy("shard", "part").orderBy(*order[1:])) - 1
     out = placed.withColumn("within", within).join(before, ["shard", "part"])
     return out.select(F.col("id").alias(id_col), "size", "text_crc32", "shard", (F.col("before") + F.col("within")).cast("long").alias("slot"))
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents under the law `bytes`; null counts as empty, repeated rows each have a slot, an empty table gives an empty one."""
     out = shard(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

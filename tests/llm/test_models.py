@@ -268,3 +268,50 @@ def test_heavy_groups_are_offset_by_all_blocks(spark, block, heavy):
 def test_level_up():
     assert sharding._level_up([0, 0, 0], 9) == [0, 0, 0]
     assert sharding._level_up([5, 1, 3], 5) == [3, 0, 2] and sharding._level_up([50, 1, 3], 6) == [4, 0, 2]
+
+
+def plain_differencing(weights, k):
+    """The textbook method on lists of members: lay the two partitions of largest spread on each other until one is left."""
+    parts = [(n, sorted([(w, [n]), *[(0, [])] * (k - 1)], key=lambda x: -x[0])) for n, w in enumerate(weights)]
+    number = len(parts)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (p[1][-1][0] - p[1][0][0], p[0]))
+        (_, a), (_, b) = parts[:2]
+        both = [(x[0] + y[0], x[1] + y[1]) for x, y in zip(a, reversed(b))]
+        parts = [*parts[2:], (number, sorted(both, key=lambda x: -x[0]))]
+        number += 1
+    return {n: s for s, (_, members) in enumerate(parts[0][1]) for n in members}
+
+
+def test_shards_of_the_table_are_those_of_plain_differencing(spark):
+    """The whole driver table: groups in order of their hash, rows numbered by id; and the same rows on any partitioning."""
+    docs = table(spark, SF_DIR, "documents").select("doc_id", "text")
+    hashes = {r["doc_id"]: (r["h"], r["text"] or "") for r in docs.withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))).collect()}
+    size = collections.Counter()
+    for h, t in hashes.values():
+        size[h] += len(t.encode()) + 1
+    items = sorted(size)
+    place = plain_differencing([size[h] for h in items], 8)
+    shard_of, slots, want = {h: place[n] for n, h in enumerate(items)}, collections.Counter(), []
+    for i in sorted(hashes):
+        h, t = hashes[i]
+        want.append((i, len(t.encode()) + 1, zlib.crc32(t.encode()), shard_of[h], slots[shard_of[h]]))
+        slots[shard_of[h]] += 1
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("2", "4", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = sharding.shard(docs.repartition(int(parts) + 1))
+            assert sorted(tuple(r) for r in got.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+
+
+def test_blocks_don_t_depend_on_partitions(spark, documents):
+    rnd = random.Random(8)
+    rows = [(k, "x" * rnd.randint(1, 300) + str(k % 500)) for k in range(600)] + [(None, "alike")] * 5
+    got = []
+    for parts in (1, 5):
+        out = sharding.shard(documents(rows).repartition(parts), sharding=sharding.Sharding(block_items=130))
+        got.append(sorted((r["doc_id"] if r["doc_id"] is not None else -1, *r[1:]) for r in out.collect()))
+    assert got[0] == got[1]
