@@ -7,9 +7,10 @@ in the restaurant of the piece before, up to a word's end, and learns each disti
 pieces share the restaurant of single pieces as parent, and that one has the uniform base. Words that were not learned
 are one dish for each first piece, which takes all that the speller leaves to unseen words; `open_score` spells them.
 
-Tables are seated by Gibbs sweeps: given the parent's probabilities and the restaurants' table counts of the sweep
-before, the customers of every dish are seated anew by the Chinese restaurant's odds; dishes are independent given
-these, so a sweep is one distributed pass, and only sums per piece (bounded by the vocabulary) come to the driver.
+Tables are seated by blocked Gibbs sweeps: given the parent's probabilities and the restaurants' table counts of the
+sweep before, the customers of every dish are removed and seated anew by the posterior odds of the Chinese restaurant.
+All dishes do so at once, so a sweep is one distributed pass, and only sums per piece (bounded by the vocabulary) come
+to the driver.
 Predictive probabilities are averaged over the sweeps after burn-in.
 
 The corpus is read once, into chunks of bounded size. A chunk asks the buckets that own its distinct words and pairs of
@@ -39,7 +40,7 @@ FOLD, HELD = 7, 2
 
 @dataclass(frozen=True)
 class PitmanYor:
-    sweeps: int = 5
+    sweeps: int = 6
     burn_in: int = 2
     strength: float = 1.0
     chunk_bytes: int = 12 << 20
@@ -100,11 +101,13 @@ def taken(values: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndar
     return values[np.arange(n.sum()) + shift]
 
 
-def bucketed(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order by bucket and key, and where each bucket begins in it."""
+def bucketed(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """Order by bucket and key, and where in it each bucket lies that has keys: as many as there are keys at most, however many buckets there are."""
     bucket = (mix(keys.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort((keys, bucket))
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+    found, begins = np.unique(bucket[order], return_index=True)
+    ends = np.append(begins[1:], len(order))
+    return order, [(int(b), slice(int(lo), int(hi))) for b, lo, hi in zip(found, begins, ends)]
 
 
 CHUNKS = "chunk bigint, bucket bigint, words binary, counts binary, sub_lengths binary, subs binary, pairs binary, pair_counts binary, ids array<{id}>, held array<boolean>, lengths binary, stream binary, firsts binary, lasts binary"
@@ -153,12 +156,10 @@ def _chunks(docs: DataFrame, path: str, buckets: int, chunk_bytes: int) -> DataF
         keys, weights = keys[pair_order], weights[pair_order]
         name = int.from_bytes(os.urandom(8), "little", signed=True)
         rows = [(name, -1, *[None] * 6, ids, held, lengths.astype(np.uint32).tobytes(), zlib.compress(stream.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), 1), first.tobytes(), last.tobytes())]
-        for b in range(buckets):
-            w, q = slice(word_at[b], word_at[b + 1]), slice(pair_at[b], pair_at[b + 1])
-            if w.stop > w.start:
-                rows.append((name, b, hashes[w].tobytes(), counts[w].astype(np.uint32).tobytes(), sub_lengths[w].astype(np.uint32).tobytes(), subs[sub_offsets[w.start] : sub_offsets[w.stop]].tobytes(), *[None] * 8))
-            if q.stop > q.start:
-                rows.append((name, b, *[None] * 4, keys[q].tobytes(), weights[q].tobytes(), *[None] * 6))
+        for b, w in word_at:
+            rows.append((name, b, hashes[w].tobytes(), counts[w].astype(np.uint32).tobytes(), sub_lengths[w].astype(np.uint32).tobytes(), subs[sub_offsets[w.start] : sub_offsets[w.stop]].tobytes(), *[None] * 8))
+        for b, q in pair_at:
+            rows.append((name, b, *[None] * 4, keys[q].tobytes(), weights[q].tobytes(), *[None] * 6))
         types = [pa.int64(), pa.int64(), *[pa.binary()] * 6, pa.list_(id_type), pa.list_(pa.bool_()), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
 
@@ -184,22 +185,34 @@ def _chunks(docs: DataFrame, path: str, buckets: int, chunk_bytes: int) -> DataF
 
 
 def tables(c: np.ndarray, t_u: np.ndarray, p_w: np.ndarray, d: float, strength: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each dish after its c customers were seated: a customer opens one with odds (strength + d t_u) p_w to n - d t.
+    """Tables of each dish, given those of all others: its c customers are removed and seated anew.
 
-    The first 64 are seated one by one; from there on in steps of a twentieth of those seated, all with the odds of the step's start.
+    With a = (strength + d t_u) p_w the posterior of a dish's seating is in proportion to a for each table and to
+    n - d t for each customer that joins one. What a new table does to the seats of the m customers still to come is a
+    factor of about q = u^d, where u = (x + a q) / (m + x + a q), x = n - d t + (1 - d) / 2 (the saddle point of
+    their generating function), so a customer opens one with odds a q to n - d t. At every count a step seats one
+    customer, or a twentieth of those seated where that is more, with the odds of the step's start.
     """
     order = np.argsort(-c, kind="stable")
     c, a = c[order], ((strength + d * t_u) * p_w)[order]
     t = np.minimum(c, 1).astype(np.float64)
     seated, live = 1, int(np.searchsorted(-c, -1, "left"))
     while live:
-        now = 1 if seated < 64 else seated // 20
+        now = max(1, seated // 20)
         left = np.minimum(c[:live] - seated, now)
-        odds = a[:live] / (a[:live] + seated - d * t[:live])
-        t[:live] += (rng.random(live) < odds) if now == 1 else rng.binomial(left, odds)
+        joins = seated - d * t[:live]
+        x, m, q = joins + (1 - d) / 2, c[:live] - seated - (left + 1) / 2, 0.0
+        if m.any():
+            for _ in range(3):
+                held = x + a[:live] * q
+                q = (held / (m + held)) ** d
+        else:
+            q = 1.0
+        odds = a[:live] * q / (a[:live] * q + joins)
+        t[:live] += rng.binomial(left, odds) if now > 1 else rng.random(live) < odds
         seated += now
         live = int(np.searchsorted(-c[:live], -seated, "left"))
-    out = np.empty_like(t)
+    out = np.empty(len(c))
     out[order] = t
     return out
 
@@ -280,7 +293,7 @@ def lm_scores(docs: DataFrame, tokenizer_path: str, model: PitmanYor = PitmanYor
         order, at = bucketed(keys, buckets)
         keys, n = keys[order], n[order]
         none = dict.fromkeys(sums_, 0)
-        out += [{"bucket": bucket, "pair_bucket": b, "keys": keys[at[b] : at[b + 1]].tobytes(), "counts": n[at[b] : at[b + 1]].tobytes(), "lengths": None} | none for b in range(buckets) if at[b + 1] > at[b]]
+        out += [{"bucket": bucket, "pair_bucket": b, "keys": keys[q].tobytes(), "counts": n[q].tobytes(), "lengths": None} | none for b, q in at]
         return pd.DataFrame(out)
 
     owned = staged(asked.groupBy("bucket").applyInPandas(gather, "bucket bigint, pair_bucket bigint, keys binary, counts binary, lengths binary, n bigint, v bigint, ones bigint, twos bigint"), "buckets")
@@ -470,6 +483,7 @@ def lm_scores(docs: DataFrame, tokenizer_path: str, model: PitmanYor = PitmanYor
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents; null counts as empty (one token, the end), repeated rows each give a row, an empty table gives an empty one."""
     import public_tokenizers
 
     return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

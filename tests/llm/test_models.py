@@ -166,20 +166,23 @@ def test_nothing_to_learn_from(spark, documents):
     assert all(r["held_out"] and r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 and math.isfinite(r["score"]) for r in got)
 
 
-def test_seating_follows_the_restaurant():
-    """Mean number of tables against the exact recursion, one dish with a fixed weight for new tables."""
-    d, a, n = 0.6, 1.7, 40
-    p = {1: 1.0}
+@pytest.mark.parametrize("d, a, n", [(0.6, 1.7, 40), (0.3, 0.2, 12), (0.8, 20.0, 60), (0.75, 0.05, 400), (0.5, 3.0, 900)])
+def test_seating_follows_the_posterior(d, a, n):
+    """The tables of a dish of n customers: in proportion to a^t times the generalised Stirling number of (n, t)."""
+    stirling = [-math.inf, 0.0]
     for seated in range(1, n):
-        nxt = collections.defaultdict(float)
-        for t, q in p.items():
-            new = a / (a + seated - d * t)
-            nxt[t + 1] += q * new
-            nxt[t] += q * (1 - new)
-        p = nxt
-    want = sum(t * q for t, q in p.items())
+        stirling = [-math.inf] + [np.logaddexp(stirling[k - 1], stirling[k] + math.log(seated - d * k) if k < len(stirling) else -math.inf) for k in range(1, len(stirling) + 1)]
+    mass = np.array([x + k * math.log(a) for k, x in enumerate(stirling)])
+    mass = np.exp(mass - mass.max()) / np.exp(mass - mass.max()).sum()
+    exact = (np.arange(n + 1) * mass).sum()
+    spread = ((np.arange(n + 1) - exact) ** 2 * mass).sum() ** 0.5
     t = lm.tables(np.full(20_000, n), np.zeros(20_000), np.ones(20_000), d, a, np.random.default_rng(1))
-    assert t.mean() == pytest.approx(want, rel=0.01) and t.min() >= 1 and t.max() <= n
+    assert t.min() >= 1 and t.max() <= n
+    assert t.mean() == pytest.approx(exact, rel=0.04) and t.std() == pytest.approx(spread, rel=0.1, abs=0.02)
+
+
+def test_seating_of_mixed_counts():
+    d, a = 0.6, 1.7
     mixed = lm.tables(np.array([0, 1, 5, 5000]), np.zeros(4), np.ones(4), d, a, np.random.default_rng(1))
     assert mixed[0] == 0 and mixed[1] == 1 and 1 <= mixed[2] <= 5 and 1 < mixed[3] < 5000
 
