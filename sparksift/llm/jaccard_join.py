@@ -1,12 +1,12 @@
 """Operator 9: Jaccard self-join on word shingles with Bayesian pruning of candidates.
 
 Texts are sets of 64-bit hashes of five consecutive words (A-Z lower-cased; words are runs of digits, a-z and
-anything beyond ASCII). Equal sets are one node. Banded MinHash values put nodes into buckets, and nodes that share
-a bucket, directly or by steps, form a candidate group: a link of the threshold or more is missed with a chance
-of under 1e-7. Groups are cut into blocks, and a task has two blocks at most. There MinHash values are compared
-step by step for all pairs at once; a pair goes when the posterior probability that its similarity reaches the
-threshold (uniform prior) is below `tolerance`. What is left is verified on the whole sets. Tasks give back link
-counts and a spanning forest, never pairs, so a group of m copies costs rows in proportion to m.
+anything beyond ASCII). Equal sets are one node. Banded MinHash values put nodes into buckets: a link of the threshold
+or more shares none with a chance of under 1e-7. Nodes of a bucket are compared by their MinHash values step by step;
+a pair goes when the posterior probability that its similarity reaches the threshold (uniform prior) is below
+`tolerance`. Pairs that stay join nodes to groups, so that a group holds likely links and not what a passage or two
+chains together. Within a group the same pruning tells which blocks of texts a node has likely links in; only there
+its text goes, and pairs are verified on the whole sets. Tasks give back link counts and a spanning forest, never pairs.
 """
 
 from __future__ import annotations
@@ -26,8 +26,12 @@ from .common import OWN, byte_groups, need, staged, table
 from .components import components
 
 SLICE_BYTES = 1 << 19
-#: Rows of candidate members (five longs each) that may be broadcast to filter the texts; beyond it they are joined by a shuffle.
+#: Nodes (two longs each) that may be broadcast to find their rows; beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Bands that two nodes share in one bucket's first node's company before they count as one group without comparison.
+TIGHT_BANDS = 6
+#: Pairs that are compared at once in a task.
+TILE = 256
 
 
 @dataclass(frozen=True)
@@ -39,7 +43,9 @@ class Join:
     compared: int = 256
     step: int = 32
     tolerance: float = 1e-9
-    block: int = 256
+    #: Nodes by their signatures in one task are two blocks of this many; texts are two blocks of about text_block bytes.
+    block: int = 4_096
+    text_block: int = 4 << 20
 
     def __post_init__(self):
         if not 0 < self.threshold <= 1 or self.compared > self.bands * self.rows:
@@ -159,10 +165,10 @@ def least_matches(join: Join) -> dict[int, int]:
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str, join: Join) -> DataFrame:
-    """id, th (hash of the text), node, size, bands, signature of each row; node is null without words."""
+    """id, th (hash of the text), bytes, node, size, bands, signature of each row; node is null without words."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).cast("binary").alias("raw"))
     kind = dict(rows.dtypes)["id"]
-    names = ["id", "th", "node", "size", "bands", "signature"]
+    names = ["id", "th", "bytes", "node", "size", "bands", "signature"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,9 +191,9 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, join: Join) -> DataFram
                     for r, d in enumerate(full):
                         bands[d], signature[d] = h[r], short[r].tobytes()
                 mask = size == 0
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(node, mask=mask), pa.array(size.astype(np.int64)), pa.array(bands, pa.list_(pa.int64())), pa.array(signature, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes[lo:hi], pa.int64()), pa.array(node, mask=mask), pa.array(size.astype(np.int64)), pa.array(bands, pa.list_(pa.int64())), pa.array(signature, pa.binary())], names)
 
-    return rows.mapInArrow(run, f"id {kind}, th bigint, node bigint, size bigint, bands array<bigint>, signature binary")
+    return rows.mapInArrow(run, f"id {kind}, th bigint, bytes bigint, node bigint, size bigint, bands array<bigint>, signature binary")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -209,65 +215,54 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _block_pair(node: np.ndarray, side: np.ndarray, same: bool, size: np.ndarray, copies: np.ndarray, signature: np.ndarray, texts: list[bytes], join: Join):
-    """node, links, root of what one task links; side is 0 or 1 (all 0 if both blocks are the same)."""
-    i = np.flatnonzero(side == 0)
-    j = i if same else np.flatnonzero(side == 1)
-    if not len(i) or not len(j):
-        return [], [], []
+def _likely(size: np.ndarray, signature: np.ndarray, i: np.ndarray, j: np.ndarray, join: Join) -> np.ndarray:
+    """Which pairs of rows i with rows j aren't pruned; a row isn't paired with itself."""
     # Sizes bound the similarity: it can't pass their ratio.
     live = np.minimum(size[i][:, None], size[j]) >= join.threshold * np.maximum(size[i][:, None], size[j])
-    if same:
-        live &= np.tri(len(i), k=-1, dtype=bool).T
+    live &= i[:, None] != j
     matches = np.zeros(live.shape, np.int16)
     for n, least in least_matches(join).items():
         if not live.any():
-            return [], [], []
+            break
         for k in range(n - join.step, n):
             matches += signature[i, k][:, None] == signature[j, k]
         live &= matches >= least
-    a, b = np.nonzero(live)
-    if not len(a):
-        return [], [], []
-    ia, jb = np.unique(a), np.unique(b)
-    whole = np.unique(np.concatenate((i[ia], j[jb])))
-    keys, offsets = shingles([texts[x] for x in whole], join.words)
-    sets = {x: keys[offsets[k] : offsets[k + 1]] for k, x in enumerate(whole)}
-    common = _overlaps([sets[x] for x in i[ia]], [sets[x] for x in j[jb]])[np.searchsorted(ia, a), np.searchsorted(jb, b)]
-    x, y = i[a], j[b]
-    linked = common >= join.threshold * (size[x] + size[y] - common) - 1e-6
-    x, y = x[linked], y[linked]
-    links = np.bincount(x, copies[y], len(node)) + np.bincount(y, copies[x], len(node))
-    root = np.arange(len(node))
-
-    def top(k):
-        while root[k] != k:
-            root[k] = root[root[k]]
-            k = root[k]
-        return k
+    return live
 
+
+def _tiles(left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Pieces of the rows on the left with pieces of those on the right, each pair of pieces once; whether both are one piece."""
+    for a in range(0, len(left), TILE):
+        for b in range(a if same else 0, len(right), TILE):
+            yield left[a : a + TILE], right[b : b + TILE], same and a == b
+
+
+def _top(root: list[int], k: int) -> int:
+    while root[k] != k:
+        root[k] = root[root[k]]
+        k = root[k]
+    return k
+
+
+def _join_up(root: list[int], x: np.ndarray, y: np.ndarray) -> None:
     for p, q in zip(x.tolist(), y.tolist()):
-        p, q = top(p), top(q)
+        p, q = _top(root, p), _top(root, q)
         if p != q:
             root[max(p, q)] = min(p, q)
-    some = np.flatnonzero(links > 0)
-    return node[some].tolist(), links[some].astype(np.int64).tolist(), [int(node[top(k)]) for k in some]
 
 
-def _linked(members: DataFrame, join: Join) -> DataFrame:
-    """node, links, root: members has a row for each node and task, with the task's rows side by side in a partition."""
+def _columns(rows: list[tuple]):
+    return lambda k: np.array([r[k] for r in rows])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(rows: list[tuple]) -> pa.RecordBatch:
-            # A document id that stands for several texts brings texts of other nodes along.
-            rows = [r for r in {r[3]: r for r in rows}.values()]
-            out = ([], [], [])
-            if len(rows) > 1:
-                column = lambda k: np.array([r[k] for r in rows])
-                signature = np.frombuffer(b"".join(r[7] for r in rows), np.uint16).reshape(len(rows), -1)
-                out = _block_pair(column(3), column(4), rows[0][1] == rows[0][2], column(5), column(6), signature, [r[8] or b"" for r in rows], join)
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["node", "links", "root"])
 
+def _signatures(rows: list[tuple], k: int) -> np.ndarray:
+    return np.frombuffer(b"".join(r[k] for r in rows), np.uint16).reshape(len(rows), -1)
+
+
+def _per_task(dealt: DataFrame, close, schema: str) -> DataFrame:
+    """Runs close on the rows of each task. A task is told by the first three columns, and its rows lie side by side in a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, held = None, []
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
@@ -280,7 +275,114 @@ def _linked(members: DataFrame, join: Join) -> DataFrame:
         if len(held) > 1:
             yield close(held)
 
-    return members.mapInArrow(run, "node bigint, links bigint, root bigint")
+    return dealt.mapInArrow(run, schema)
+
+
+def _dealt(rows: DataFrame, key: str, block: str, blocks: str) -> DataFrame:
+    """key, bi, bj, side and the other columns: each row once for every pair of blocks that its own block is in."""
+    rest = [c for c in rows.columns if c not in (key, block, blocks)]
+    tasks = rows.withColumn("against", F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
+    return tasks.select(key, F.least(block, "against").alias("bi"), F.greatest(block, "against").alias("bj"), F.when(F.col(block) <= F.col("against"), 0).otherwise(1).alias("side"), *rest)
+
+
+def _side_by_side(tasks: DataFrame) -> DataFrame:
+    key = tasks.columns[:3]
+    return tasks.repartition(*key).sortWithinPartitions(*key, "node")
+
+
+def _bucket_forest(tasks: DataFrame, join: Join) -> DataFrame:
+    """u, v: a spanning forest over labels of the likely pairs of each bucket. tasks: band, bi, bj, side, node, label, size, signature."""
+
+    def close(rows: list[tuple]) -> pa.RecordBatch:
+        column = _columns(rows)
+        side, label, size, signature = column(3), column(5), column(6), _signatures(rows, 7)
+        same = rows[0][1] == rows[0][2]
+        i = np.flatnonzero(side == 0)
+        names, at = np.unique(label, return_inverse=True)
+        root = list(range(len(names)))
+        for a, b, _ in _tiles(i, i if same else np.flatnonzero(side == 1), same):
+            # Nodes of one label are together already.
+            if len(names) > 1 and (label[a][:, None] != label[b]).any():
+                x, y = np.nonzero(_likely(size, signature, a, b, join) & (label[a][:, None] != label[b]))
+                _join_up(root, at[a[x]], at[b[y]])
+        moved = [k for k in range(len(names)) if _top(root, k) != k]
+        return pa.RecordBatch.from_arrays([pa.array(names[moved], pa.int64()), pa.array(names[[_top(root, k) for k in moved]], pa.int64())], ["u", "v"])
+
+    return _per_task(_side_by_side(tasks), close, "u bigint, v bigint")
+
+
+def _likely_blocks(tasks: DataFrame, join: Join) -> DataFrame:
+    """node, other: the blocks of texts in which a node has a likely pair. tasks: label, bi, bj, side, node, size, text_block, signature."""
+
+    def close(rows: list[tuple]) -> pa.RecordBatch:
+        column = _columns(rows)
+        side, node, size, block, signature = column(3), column(4), column(5), column(6), _signatures(rows, 7)
+        same = rows[0][1] == rows[0][2]
+        i, found = np.flatnonzero(side == 0), set()
+        for a, b, _ in _tiles(i, i if same else np.flatnonzero(side == 1), same):
+            x, y = np.nonzero(_likely(size, signature, a, b, join))
+            x, y = a[x], b[y]
+            for p, q in ((x, y), (y, x)):
+                both = np.unique(np.stack([p, block[q]]), axis=1)
+                found.update(zip(both[0].tolist(), both[1].tolist()))
+        return pa.RecordBatch.from_arrays([pa.array([node[p] for p, _ in found], pa.int64()), pa.array([q for _, q in found], pa.int32())], ["node", "other"])
+
+    return _per_task(_side_by_side(tasks), close, "node bigint, other int").distinct()
+
+
+def _verified(tasks: DataFrame, join: Join) -> DataFrame:
+    """node, links, root of what each task links. tasks: label, bi, bj, side, node, size, copies, signature, raw."""
+
+    def close(rows: list[tuple]) -> pa.RecordBatch:
+        column = _columns(rows)
+        side, node, size, copies, signature = column(3), column(4), column(5), column(6), _signatures(rows, 7)
+        same = rows[0][1] == rows[0][2]
+        i = np.flatnonzero(side == 0)
+        links, root = np.zeros(len(rows)), list(range(len(rows)))
+        for a, b, alike in _tiles(i, i if same else np.flatnonzero(side == 1), same):
+            live = _likely(size, signature, a, b, join)
+            if alike:
+                live &= np.tri(len(a), k=-1, dtype=bool).T
+            x, y = np.nonzero(live)
+            if not len(x):
+                continue
+            xs, ys = np.unique(x), np.unique(y)
+            whole = np.unique(np.concatenate((a[xs], b[ys])))
+            keys, offsets = shingles([rows[k][8] or b"" for k in whole], join.words)
+            sets = {k: keys[offsets[n] : offsets[n + 1]] for n, k in enumerate(whole)}
+            common = _overlaps([sets[k] for k in a[xs]], [sets[k] for k in b[ys]])[np.searchsorted(xs, x), np.searchsorted(ys, y)]
+            x, y = a[x], b[y]
+            linked = common >= join.threshold * (size[x] + size[y] - common) - 1e-6
+            x, y = x[linked], y[linked]
+            links += np.bincount(x, copies[y], len(rows)) + np.bincount(y, copies[x], len(rows))
+            _join_up(root, x, y)
+        some = np.flatnonzero(links > 0).tolist()
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (node[some].tolist(), links[some].astype(np.int64).tolist(), [int(node[_top(root, k)]) for k in some])], ["node", "links", "root"])
+
+    return _per_task(_side_by_side(tasks), close, "node bigint, links bigint, root bigint")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A written table of two longs a row, broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _likely_groups(banded: DataFrame, signatures: DataFrame, join: Join) -> DataFrame:
+    """node, label of the nodes that have a likely pair. banded: band, node of buckets with several nodes."""
+    centres = banded.groupBy("band").agg(F.min("node").alias("centre"))
+    company = banded.join(centres, "band").filter("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("n"))
+    # Nodes that share many bands are compared in their group; this only spares comparisons in buckets.
+    tight = components(company.filter(F.col("n") >= TIGHT_BANDS).select(F.col("node").alias("u"), F.col("centre").alias("v")))
+    labelled = staged(banded.join(tight, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label")), "banded")
+    mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.ceil(F.count("*") / join.block).cast("int").alias("n_blocks")).filter("a <> b")
+    mixed = staged(mixed.select("band", "n_blocks"), "mixed")
+    rows = labelled.join(mixed, "band").join(signatures, "node").withColumn("block", F.expr("CAST(pmod(xxhash64(node), n_blocks) AS int)"))
+    forest = staged(_bucket_forest(_dealt(rows.select("band", "block", "n_blocks", "node", "label", "size", "signature"), "band", "block", "n_blocks"), join), "forest")
+    over = components(forest).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    # A label of `over` is a node of its own, alone or in a tight group.
+    found = tight.select("node").unionByName(over.select(F.col("label").alias("node"))).distinct()
+    own = found.join(tight, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    return staged(own.join(over, "label", "left").select("node", F.coalesce("top", "label").alias("label")), "groups")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
@@ -294,25 +396,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     signed = staged(_signed(docs, id_col, text_col, join), "signatures")
     some = signed.filter("node IS NOT NULL")
-    nodes = staged(some.groupBy("node").agg(F.count("*").alias("copies"), F.min(F.struct("id", "th")).alias("rep"), F.min("size").alias("size")), "nodes")
-    banded = some.select("node", F.explode("bands").alias("band"))
-    full = banded.groupBy("band").agg(F.min("node").alias("centre"), F.max("node").alias("other")).filter("centre <> other").select("band", "centre")
-    groups = staged(components(banded.join(full, "band").select(F.col("node").alias("u"), F.col("centre").alias("v"))), "groups")
-    # Written before they are joined: a join whose sides have exchanges of their own can split a label that most rows have.
-    sizes = staged(groups.groupBy("label").agg(F.ceil(F.count("*") / join.block).cast("int").alias("n_blocks")).filter("n_blocks > 1"), "sizes")
-    members = groups.join(sizes, "label", "left").withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1))).join(nodes, "node")
-    members = staged(members.select("node", "label", "n_blocks", F.expr("CAST(pmod(xxhash64(node), n_blocks) AS int)").alias("block"), F.col("rep.id").alias("rep_id"), F.col("rep.th").alias("rep_th"), "size", "copies"), "members")
-    narrow = members.select("node", "rep_id", "rep_th")
-    if members.count() <= BROADCAST_ROWS:
-        narrow = F.broadcast(narrow)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
-    texts = texts.join(narrow, texts["id"].eqNullSafe(F.col("rep_id")) & (texts["th"] == F.col("rep_th"))).select("node", F.col("text").cast("binary").alias("raw"))
-    marks = signed.select("id", "th", "signature").join(narrow, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("th") == F.col("rep_th"))).select("node", "signature")
-    tasks = members.select("node", "label", "block", "size", "copies", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("against"))
-    tasks = tasks.select("label", F.least("block", "against").alias("bi"), F.greatest("block", "against").alias("bj"), "node", F.when(F.col("block") <= F.col("against"), 0).otherwise(1).alias("side"), "size", "copies")
-    rows = tasks.join(marks.dropDuplicates(["node"]).join(texts.dropDuplicates(["node"]), "node"), "node")
-    rows = rows.select("label", "bi", "bj", "node", "side", "size", "copies", "signature", "raw").repartition("label", "bi", "bj").sortWithinPartitions("label", "bi", "bj", "node")
-    linked = staged(_linked(rows, join), "links")
+    nodes = staged(some.groupBy("node").agg(F.count("*").alias("copies"), F.min(F.struct("id", "th")).alias("rep"), F.min("size").alias("size"), F.min("bytes").alias("bytes")), "nodes")
+    every = some.select("node", F.explode("bands").alias("band"))
+    full = every.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("band")
+    banded = staged(every.join(full, "band").distinct(), "buckets")
+    # Signatures of the nodes that share a bucket, once each.
+    sharing = _small(staged(banded.select("node").distinct(), "sharing"))
+    signatures = staged(some.join(sharing, "node", "left_semi").groupBy("node").agg(F.first("signature").alias("signature"), F.first("size").alias("size")), "marks")
+    groups = _likely_groups(banded, signatures, join)
+    # Blocks of a group by bytes of texts, and by number of signatures.
+    members = groups.join(nodes.select("node", "rep", "copies", "bytes"), "node")
+    sizes = staged(members.groupBy("label").agg(F.ceil(F.sum("bytes") / join.text_block).cast("int").alias("n_texts"), F.ceil(F.count("*") / join.block).cast("int").alias("n_blocks")).filter("n_texts > 1"), "sizes")
+    members = members.join(sizes, "label", "left").withColumn("n_texts", F.coalesce("n_texts", F.lit(1)))
+    members = staged(members.select("node", "label", "n_texts", "n_blocks", F.expr("CAST(pmod(xxhash64(node), n_texts) AS int)").alias("text_block"), F.expr("CAST(pmod(xxhash64(node, 1), n_blocks) AS int)").alias("block"), F.col("rep.id").alias("rep_id"), F.col("rep.th").alias("rep_th"), "copies"), "members")
+    large = members.filter("n_texts > 1").select("label", "block", "n_blocks", "node", "text_block").join(signatures, "node").select("label", "block", "n_blocks", "node", "size", "text_block", "signature")
+    others = staged(_likely_blocks(_dealt(large, "label", "block", "n_blocks"), join), "others")
+    tasks = members.join(others, "node", "left").filter("n_texts = 1 OR other IS NOT NULL").withColumn("other", F.coalesce("other", F.lit(0)))
+    tasks = tasks.select("label", F.least("text_block", "other").alias("bi"), F.greatest("text_block", "other").alias("bj"), F.when(F.col("text_block") <= F.col("other"), 0).otherwise(1).alias("side"), "node", "copies")
+    narrow = _small(staged(members.select("node", F.xxhash64("rep_id", "rep_th").alias("key")), "wanted"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("id", F.xxhash64("text")))
+    # A row's text may be that of another node only if two hashes agree; what a node's text is, its shingles tell.
+    texts = texts.join(narrow, "key").groupBy("node").agg(F.first(F.col("text").cast("binary")).alias("raw"))
+    rows = tasks.join(signatures, "node").join(texts, "node").select("label", "bi", "bj", "side", "node", "size", "copies", "signature", "raw")
+    linked = staged(_verified(rows, join), "links")
     found = components(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
     classed = nodes.join(found, "node", "left").join(counts, "node", "left").select("node", "copies", F.col("rep.id").alias("rep_id"), F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
@@ -330,7 +436,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
-    """docs, all columns, with one row of each class: the one of the least id (with nulls, a null one only where a class has no other)."""
+    """docs, all columns, with one row of each class: the one of the least id (with nulls, a null one only where a class has no other).
+
+    Rows without words (null and empty texts too) all stay; of repeated rows one stays; an empty table gives an empty one."""
     found = staged(near_duplicates(docs, id_col, text_col, join), "found")
     kept = found.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("id"), F.col("text_hash").alias("th"))).alias("k"), F.count("*").alias("c")).select("k.id", "k.th")
     wordless = found.filter("class_key IS NULL").select(F.col(id_col).alias("id"), F.col("text_hash").alias("th"))
@@ -347,4 +455,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents with its class and number of links; rows without words are alone, an empty table gives an empty one."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")

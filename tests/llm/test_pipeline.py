@@ -67,14 +67,48 @@ def copies(seed=7):
 
 def test_join_equals_brute_force(spark, documents, edge_rows):
     rows = [(k, t) for k, t in enumerate([t for _, t in edge_rows if t is None or len(t) < 1000] + copies())]
-    for block in (256, 3):
-        got = jaccard_join.near_duplicates(documents(rows), join=jaccard_join.Join(block=block)).collect()
+    for join in (jaccard_join.Join(), jaccard_join.Join(block=3, text_block=600)):
+        got = jaccard_join.near_duplicates(documents(rows), join=join).collect()
         assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == brute(rows)
     kept = jaccard_join.one_of_each(documents(rows))
     assert kept.columns == documents(rows).columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c, _ in brute(rows)})
 
 
+def test_a_chain_of_near_misses_stays_linear(spark, documents, monkeypatch):
+    """Texts that slide along a passage: neighbours come near the threshold, none reaches it; rows of the last tasks grow with the texts."""
+    rnd = random.Random(12)
+    sent = []
+    verified = jaccard_join._verified
+
+    def counted(tasks, join):
+        sent.append(tasks.count())
+        return verified(tasks, join)
+
+    monkeypatch.setattr(jaccard_join, "_verified", counted)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(100 + 16 * 240)]
+    for n in (120, 240):
+        rows = [(k, " ".join(words[16 * k : 16 * k + 100])) for k in range(n)]
+        got = jaccard_join.near_duplicates(documents(rows), join=jaccard_join.Join(text_block=4000)).collect()
+        assert {r["n_links"] for r in got} == {0} and len({r["class_id"] for r in got}) == n
+    assert 0 < sent[1] <= 2.4 * sent[0] and sent[1] <= 5 * 240
+
+
+def test_components_of_chains_and_stars(spark, monkeypatch):
+    """A chain numbered in order is done in rounds that grow with the logarithm; labels are those of a plain search."""
+    from sparksift.llm import components as cc
+
+    maps, staged = [], cc.staged
+    monkeypatch.setattr(cc, "staged", lambda df, label: (maps.append(label), staged(df, label))[1])
+    edges = [(k, k + 1) for k in range(1000)] + [(5000, 5001 + k) for k in range(300)] + [(7000, 7001), (7001, 7000), (7002, 7002)]
+    got = cc.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
+    label = {r["node"]: r["label"] for r in got}
+    assert len(got) == len(label) == 1001 + 301 + 2
+    assert len({label[k] for k in range(1001)}) == 1 and len({label[5000 + k] for k in range(301)}) == 1 and label[7000] == label[7001]
+    assert len(set(label.values())) == 3 and maps.count("map") <= 20
+    assert cc.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
 def test_join_edges(spark, documents, edge_rows):
     got = jaccard_join.near_duplicates(documents(edge_rows)).collect()
     assert len(got) == len(edge_rows)
