@@ -9,8 +9,10 @@ from dataclasses import dataclass
 class Config:
     """Thresholds flag at `high` or more and clear at `low` or less; an export part holds at most max_links links and max_bytes bytes."""
 
-    # Concurrency of calls, caps of an export part.
+    # Concurrency of calls and of checks, caps of an export part, monthly tokens.
     ai_concurrency: int = 12
+    check_concurrency: int = 20
+    monthly_tokens: int = 1_500_000_000
     max_links: int = 1_000
     max_bytes: int = 24_000_000
     low: float = 0.05
@@ -20,6 +22,3 @@ class Config:
     excerpt_chars: int = 2_000
     json_retries: int = 2
 
-
-CLOUD = Config()
-LOCAL = Config(fast_mode=True, ai_concurrency=3)

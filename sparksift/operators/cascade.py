@@ -75,11 +75,35 @@ def consensus(primary: Column, validator: Column, tiebreaker: Column) -> dict[st
     }
 
 
+#: Content of a screenshot to a verdict.
+Vision = Callable[[bytes], str]
+
+
+def stub_vision(content: bytes) -> str:
+    """A deterministic stand-in for a model that looks at screenshots."""
+    return "flag" if any(x in content for x in (b"casino", b"bets", b"pills", b"spam")) else "clear"
+
+
+def vision_check(shots: DataFrame, config: Config, client: Vision = stub_vision) -> DataFrame:
+    """path, content to name, verdict: at most check_concurrency looks at once, written, so that none is done twice."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"name": f["path"].str.rsplit("/", n=1).str[-1], "verdict": [client(bytes(x)) for x in f["content"]]})
+
+    return written(shots.select("path", "content").repartition(config.check_concurrency).mapInPandas(run, "name string, verdict string"), "vision")
+
+
 def classify(pages: DataFrame, config: Config, client: Client = stub_client) -> DataFrame:
-    """host, excerpt to host, verdict, decided_by, tokens: validator after primary, tiebreaker only on disagreement.
+    """host, excerpt and, if there is one, p to host, verdict, decided_by, tokens: validator after primary, tiebreaker only on disagreement.
 
-    In fast mode a confident primary needs no validator.
+    With p, the fast path's probability, the gate is asked first, and only hosts that it leaves open go to a model. In
+    fast mode a confident primary needs no validator.
     """
+    if "p" in pages.columns:
+        judged = gate(F.col("p"), config)
+        sure = pages.filter(judged.isNotNull()).select("host", judged.alias("verdict"), F.lit("gate").alias("decided_by"), F.lit(0).cast("long").alias("tokens"))
+        return sure.unionByName(classify(pages.filter(judged.isNull()).drop("p"), config, client))
 
     def parsed(replies: DataFrame, role: str) -> DataFrame:
         fields = reply_fields(F.col("raw"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..config import Config
+from ..functions.storage import written
 
 
 def with_evidence(confirmed: DataFrame, evidence: DataFrame, key: str, ref: str) -> DataFrame:
@@ -18,10 +19,26 @@ def with_evidence(confirmed: DataFrame, evidence: DataFrame, key: str, ref: str)
     return confirmed.join(grouped, key, "left").withColumn("evidence", F.coalesce("evidence", F.array().cast("array<string>")))
 
 
+def _ranged(items: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """items in order of key and order, dealt by ranges, with the number of the range: a bundle that holds a third of all rows lies in many."""
+    alike = items.withColumn("_at", F.monotonically_increasing_id())  # parts rows that agree in key and order
+    return written(alike.repartitionByRange(key, *order, "_at").withColumn("_range", F.spark_partition_id()), "ranged")
+
+
+def _with_sums_before(ranged: DataFrame, key: str, order: list[str], value: Column) -> DataFrame:
+    """ranged with _sum: of value over the rows of the key up to this one, as the ranges before and those of its own range."""
+    sums = ranged.groupBy(key, "_range").agg(F.sum(value).alias("_s"))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(F.col(key).alias("_key"), F.col("_range").alias("_r"), F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"))  # a row for each key and range
+    within = F.sum(value).over(Window.partitionBy(key, "_range").orderBy(*order, "_at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = ranged.withColumn("_within", within).join(before, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_r")))
+    return joined.withColumn("_sum", F.col("_before") + F.col("_within")).drop("_key", "_r", "_before", "_within", "_range", "_at")
+
+
 def split_links(items: DataFrame, bundle: str, order: list[str], config: Config) -> DataFrame:
-    """part_no by the cap on links alone."""
-    n = F.row_number().over(Window.partitionBy(bundle).orderBy(*order))
-    return items.withColumn("part_no", F.floor((n - 1) / config.max_links).cast("long"))
+    """part_no by the cap on links alone. Rows are sorted by ranges and numbered by the sums of earlier ranges, so no task sorts a whole bundle."""
+    numbered = _with_sums_before(_ranged(items, bundle, order), bundle, order, F.lit(1))
+    return numbered.withColumn("part_no", F.floor((F.col("_sum") - 1) / config.max_links).cast("long")).drop("_sum")
 
 
 def parts_of(sizes: list[int], max_links: int, max_bytes: int) -> list[int]:
@@ -65,5 +82,5 @@ def part_counters(parts: DataFrame) -> DataFrame:
 
 
 def running_bytes(items: DataFrame, key: str, order: str, size: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return items.withColumn("running", F.sum(size).over(w))
+    """items with the bytes of their key up to each, by ranges as in split_links."""
+    return _with_sums_before(_ranged(items, key, [order]), key, [order], F.col(size)).withColumnRenamed("_sum", "running")

@@ -26,15 +26,33 @@ def term_hits(text: Column, wanted) -> Column:
     return F.size(F.filter(words_of(text), lambda x: x.isin(*wanted))).cast("long")
 
 
+#: Terms of a lexicon that become part of the plan; a longer one is joined by its words.
+PLAN_TERMS = 500
+
+
 def lexicon_scores(texts: DataFrame, lexicon: DataFrame, key: str, text_col: str) -> DataFrame:
-    """key, hits (distinct terms), weight: a nested loop over a lexicon that is broadcast. Rows without hits stay with 0.
+    """key, hits (distinct terms), weight; rows without hits stay with 0.
 
-    The lexicon is a list kept by hand, not data: a few hundred terms.
+    A lexicon of up to PLAN_TERMS terms is tested in one expression a row, without a join. A longer one is joined with
+    the distinct runs of words of each text that are as long as its terms.
     """
-    padded = texts.select(key, padded_words(F.col(text_col)).alias("padded"))
-    hit = F.col("padded").contains(F.concat(F.lit(" "), F.lower("term"), F.lit(" ")))
-    found = padded.join(F.broadcast(lexicon), hit, "left")
-    return found.groupBy(key).agg(F.count("term").alias("hits"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("weight"))
+    rows = lexicon.select(F.concat(F.lit(" "), F.lower("term"), F.lit(" ")).alias("t"), F.col("weight").cast("double").alias("w"))
+    held = rows.limit(PLAN_TERMS + 1).collect()
+    padded = texts.select(key, F.coalesce(padded_words(F.col(text_col)), F.lit("")).alias("padded"))
+    if len(held) <= PLAN_TERMS:
+        terms_ = F.array(*[F.struct(F.lit(r["t"]).alias("t"), F.lit(r["w"]).alias("w")) for r in held]) if held else F.array().cast("array<struct<t: string, w: double>>")
+        found = padded.select(key, F.filter(terms_, lambda x: F.col("padded").contains(x["t"])).alias("f"))
+        return found.select(key, F.size("f").cast("long").alias("hits"), F.aggregate("f", F.lit(0.0), lambda a, x: a + x["w"]).alias("weight"))
+    longest = rows.agg(F.max(F.size(F.split(F.trim("t"), " ")))).first()[0]
+    words = padded.select(key, F.filter(F.split("padded", " "), lambda x: x != "").alias("ws"))
+
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size("ws") - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.concat(F.lit(" "), F.array_join(F.slice("ws", i, n), " "), F.lit(" ")))
+
+    spread = words.select(key, F.explode(F.array_distinct(F.concat(*[runs(n) for n in range(1, longest + 1)]))).alias("t"))
+    hits = spread.join(rows, "t").groupBy(key).agg(F.count("*").alias("hits"), F.sum("w").alias("weight"))
+    return texts.select(key).join(hits, key, "left").select(key, F.coalesce("hits", F.lit(0)).cast("long").alias("hits"), F.coalesce("weight", F.lit(0.0)).alias("weight"))
 
 
 def guarded(text: Column) -> Column:

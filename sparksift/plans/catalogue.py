@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import text as fx
-from ..functions.storage import fresh_path, put_bytes, written
+from ..functions.storage import fresh_path, put_files, written
 from ..operators import cascade, export, lexicon, ml, report, state
 from ..sources import bundles, seeds, sheets
 from ..streaming import checks
@@ -207,19 +207,25 @@ def q_split_counters(spark, sf_dir):
     return export.part_counters(dual_split(spark, sf_dir))
 
 
-@query(f"{SPLIT} SELECT bundle, part_no, true AS pdf_ok, count(*)::BIGINT AS xlsx_rows FROM w GROUP BY bundle, part_no")
+@query(f"""{SPLIT}, e AS (SELECT page_id AS item, coalesce(list_sort(list(source) FILTER (source IS NOT NULL)), []) AS ev FROM pages LEFT JOIN documents ON page_id = n_chars GROUP BY page_id),
+m AS (SELECT w.bundle, w.part_no, url, ev FROM w JOIN pages ON page_id = w.item JOIN e USING (item))
+SELECT bundle, part_no, true AS pdf_ok, count(*)::BIGINT AS xlsx_rows, string_agg(url, '|' ORDER BY url) AS xlsx_links,
+array_to_string(list_sort(list_distinct(list_concat(list(url), flatten(list(ev))))), '|') AS pdf_links FROM m GROUP BY bundle, part_no""")
 def q_export_bundles(spark, sf_dir):
-    """Each part rendered as PDF and workbook, and the workbook read back."""
-    urls = read(spark, sf_dir, "pages").select(F.col("page_id").alias("item"), "url")
-    manifest = dual_split(spark, sf_dir).join(urls, "item").select("bundle", "part_no", F.col("bundle").alias("host"), "url")
+    """Each part with its evidence rendered as PDF and workbook, and the links of both read back."""
+    pages = read(spark, sf_dir, "pages").select(F.col("page_id").alias("item"), "url")
+    refs = read(spark, sf_dir, "documents").select(F.col("n_chars").alias("item"), "source")
+    manifest = dual_split(spark, sf_dir).join(export.with_evidence(pages, refs, "item", "source"), "item").select("bundle", "part_no", F.col("bundle").alias("host"), "url", "evidence")
 
     def back(frames):
         for f in frames:
             f["xlsx_rows"] = [sum(1 for _ in sheets.read_rows(bytes(x))) - 1 for x in f["xlsx"]]
             f["pdf_ok"] = [bytes(x).startswith(b"%PDF-1.4") and bytes(x).rstrip().endswith(b"%%EOF") for x in f["pdf"]]
-            yield f[["bundle", "part_no", "pdf_ok", "xlsx_rows"]]
+            f["xlsx_links"] = ["|".join(sheets.read_links(bytes(x))) for x in f["xlsx"]]
+            f["pdf_links"] = ["|".join(sorted(set(bundles.pdf_links(bytes(x))))) for x in f["pdf"]]
+            yield f[["bundle", "part_no", "pdf_ok", "xlsx_rows", "xlsx_links", "pdf_links"]]
 
-    return bundles.rendered(manifest).mapInPandas(back, "bundle string, part_no long, pdf_ok boolean, xlsx_rows long")
+    return bundles.rendered(manifest).mapInPandas(back, "bundle string, part_no long, pdf_ok boolean, xlsx_rows long, xlsx_links string, pdf_links string")
 
 
 @query("SELECT page_id, coalesce(string_agg(source, ',' ORDER BY source), '') AS evidence FROM pages LEFT JOIN documents ON page_id = n_chars GROUP BY page_id")
@@ -316,16 +322,43 @@ def host_excerpts(spark, sf_dir):
     return pages.filter("host IS NOT NULL").groupBy("host").agg(F.min_by("excerpt", "page_id").alias("excerpt"))
 
 
-@query()
+#: What the stub says, as SQL: its hits in the excerpt of a host's first page, and the tokens of an excerpt.
+STUB = f"""x AS (SELECT {sql_host('url')} AS host, page_id, substring({SQL_TEXT}, 1, 2000) AS excerpt FROM pages),
+f AS (SELECT host, arg_min(excerpt, page_id) AS excerpt FROM x WHERE host IS NOT NULL GROUP BY host),
+s AS (SELECT host, len(list_filter(string_split(excerpt, ' '), lambda x: x <> '')) AS w,
+len(list_filter(string_split(lower(excerpt), ' '), lambda x: trim(x, '.,') IN ('bet', 'bets', 'casino', 'jackpot', 'spin', 'odds', 'pills', 'win'))) + regexp_matches(host, 'casino|bets|pills|spam')::INT AS h FROM f)"""
+STUB_OUT = "CASE WHEN h >= 1 THEN 'flag' ELSE 'clear' END AS verdict, CASE WHEN h = 1 THEN 'tiebreaker' ELSE 'agreed' END AS decided_by"
+STUB_TOKENS = "CASE WHEN h = 1 THEN 3 * w + 14 ELSE 2 * w + 10 END"
+
+
+@query(f"WITH {STUB} SELECT host, {STUB_OUT}, ({STUB_TOKENS})::BIGINT AS tokens FROM s")
 def q_llm_stub(spark, sf_dir):
     return cascade.classify(host_excerpts(spark, sf_dir), Config())
 
 
-@query()
+@query(f"WITH {STUB} SELECT host, {STUB_OUT}, (CASE WHEN h = 0 OR h >= 4 THEN w + 4 ELSE {STUB_TOKENS} END)::BIGINT AS tokens FROM s")
 def q_llm_fast_mode(spark, sf_dir):
     return cascade.classify(host_excerpts(spark, sf_dir), Config(fast_mode=True))
 
 
+@query(f"""WITH {STUB}, g AS (SELECT *, CASE WHEN length(host) % 21 >= 19 THEN 'flag' WHEN length(host) % 21 <= 1 THEN 'clear' END AS g FROM s), m AS (SELECT host, g, w, h, {STUB_OUT} FROM g)
+SELECT host, coalesce(g, verdict) AS verdict, CASE WHEN g IS NULL THEN decided_by ELSE 'gate' END AS decided_by, (CASE WHEN g IS NULL THEN {STUB_TOKENS} ELSE 0 END)::BIGINT AS tokens FROM m""")
+def q_gated_cascade(spark, sf_dir):
+    """The fast path's probability, here by a rule on the host, decides before any model is asked."""
+    return cascade.classify(host_excerpts(spark, sf_dir).withColumn("p", (F.length("host") % 21) / 20), Config())
+
+
+@query(f"SELECT page_id::VARCHAR || '.png' AS name, CASE WHEN regexp_matches(url, 'casino|bets|pills|spam') THEN 'flag' ELSE 'clear' END AS verdict FROM pages")
+def q_vision_check(spark, sf_dir):
+    return cascade.vision_check(spark.read.format("binaryFile").load(shots(spark, sf_dir)), Config())
+
+
+@query("SELECT CAST(date_trunc('month', ts) AS DATE) AS month, sum(json_extract(props, '$.k')::BIGINT)::BIGINT AS tokens, sum(json_extract(props, '$.k')::BIGINT) / 1500000000::DOUBLE AS share, sum(json_extract(props, '$.k')::BIGINT) > 1500000000 AS over FROM events GROUP BY 1")
+def q_token_quota(spark, sf_dir):
+    """A month's tokens; the number in an event's props stands for its tokens."""
+    return report.quota(read(spark, sf_dir, "events").select("ts", F.from_json("props", "k bigint")["k"].alias("tokens")), "ts", "tokens", Config())
+
+
 HOSTS = f"SELECT DISTINCT host FROM (SELECT {sql_host('url')} AS host FROM pages) WHERE host IS NOT NULL"
 
 
@@ -349,25 +382,44 @@ def q_excel_seed(spark, sf_dir):
             for k in range(0, len(f), 1000):
                 yield pd.DataFrame({"content": [sheets.workbook(["domain", "note"], [[u, "page"] for u in f["url"].iloc[k : k + 1000]])]})
 
-    written_books = written(urls.mapInPandas(books, "content binary"), "books")
-    for n, row in enumerate(written_books.toLocalIterator()):
-        put_bytes(spark, f"{path}/{n}.xlsx", bytes(row["content"]))
+    put_files(urls.mapInPandas(books, "content binary").withColumn("name", F.format_string("%d.xlsx", F.monotonically_increasing_id())), path)
     return seeds.seed_hosts(seeds.excel_seeds(spark, path))
 
 
-@query()
+KEYWORDS = f"SELECT DISTINCT term FROM (VALUES {VALUES}) AS v(term, lang, weight)"
+
+
+def keyword_file(spark):
+    path = fresh_path(spark, "keywords")
+    lexicon.terms(spark).select("term").unionByName(spark.createDataFrame([("# a note",), ("",), (" casino ",)], "term string")).write.text(path)
+    return seeds.keyword_list(spark, path)
+
+
+@query(KEYWORDS)
+def q_keyword_list(spark, sf_dir):
+    return keyword_file(spark)
+
+
+@query(f"""WITH k AS ({KEYWORDS}), h AS (SELECT replace(term, ' ', '-') || '-' || ((r * (1 + e)) % 10)::VARCHAR || '.example.com' AS host, TIMESTAMP '2024-01-01' + to_minutes(r + 1) AS seen_at, n AS engine
+FROM k, (VALUES (0, 'bing'), (1, 'duckduckgo'), (2, 'google'), (3, 'yahoo')) AS v(e, n), generate_series(0, 9) AS u(r))
+SELECT host, min(seen_at) AS first_seen, string_agg(DISTINCT engine, ',' ORDER BY engine) AS engines, count(*)::BIGINT AS n FROM h GROUP BY host""")
 def q_harvest_source(spark, sf_dir):
-    hits = seeds.harvest(spark, [t for t, _, _ in lexicon.TERMS])
-    return state.deduped(hits.select(fx.host_of(F.col("url")).alias("host"), "seen_at", "engine")).withColumn("engines", F.array_join("engines", ","))
+    """Keywords of a file, searched by every engine."""
+    hits = seeds.harvest(spark, sorted(r["term"] for r in keyword_file(spark).collect()))  # a list kept by hand
+    found = state.deduped(hits.select(fx.host_of(F.col("url")).alias("host"), F.col("seen_at").cast("timestamp_ntz").alias("seen_at"), "engine"))
+    return found.withColumn("engines", F.array_join("engines", ","))
+
+
+def shots(spark, sf_dir):
+    """A folder of stand-in screenshots that hold the url's bytes."""
+    path = fresh_path(spark, "shots")
+    put_files(read(spark, sf_dir, "pages").select(F.format_string("%d.png", "page_id").alias("name"), F.col("url").cast("binary").alias("content")), path)
+    return path
 
 
 @query("SELECT page_id::VARCHAR || '.png' AS name, strlen(url)::BIGINT AS bytes, sha256(url) AS sha256 FROM pages")
 def q_screenshot_scan(spark, sf_dir):
-    """Stand-in files hold the url's bytes."""
-    path = fresh_path(spark, "shots")
-    for row in read(spark, sf_dir, "pages").select("page_id", "url").toLocalIterator():
-        put_bytes(spark, f"{path}/{row['page_id']}.png", row["url"].encode())
-    return seeds.screenshots(spark, path)
+    return seeds.screenshots(spark, shots(spark, sf_dir))
 
 
 @query("SELECT date_trunc('hour', ts)::TIMESTAMP AS start, event_type, count(*)::BIGINT AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")

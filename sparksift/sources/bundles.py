@@ -2,18 +2,44 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .sheets import workbook
 
 LINES_PER_PAGE = 50
+LINE_CHARS = 120
+#: Characters of a path, query or fragment that stay as they are; % too, so that encoded ones aren't encoded again.
+SAFE = "/?#&=%:;,+@!$'*~.-_"
+
+
+def link_target(url: str) -> str:
+    """The url in ASCII: its host by IDNA, other characters beyond ASCII, blanks and brackets percent-encoded."""
+    scheme, mark, rest = url.partition("://")
+    host, path = (rest, "") if mark else ("", url)
+    if mark and (cut := re.search(r"[/?#]", rest)):
+        host, path = rest[: cut.start()], rest[cut.start() :]
+    if not host.isascii():
+        try:
+            host = host.encode("idna").decode()
+        except UnicodeError:
+            host = quote(host, safe=":@[]")
+    return f"{scheme if mark else ''}{mark}{host}{quote(path, safe=SAFE)}"
+
+
+def wrapped(text: str, width: int = LINE_CHARS) -> list[str]:
+    return [text[k : k + width] for k in range(0, len(text), width)] or [""]
 
 
 def pdf(title: str, rows: list[tuple[str, str]]) -> bytes:
-    """Pages of (text, url) lines; each url is a link. Latin-1 text; other characters become question marks."""
+    """Pages of (text, url) lines; each url is a link, and long texts run over several lines. Text is Latin-1; other
+    characters become question marks there, but not in links."""
+    rows = [(line, url) for text, url in rows for line in wrapped(text)]
     safe = lambda x: x.encode("latin-1", "replace").decode("latin-1").replace("\\", r"\\").replace("(", r"\(").replace(")", r"\)")
     pages = [rows[k : k + LINES_PER_PAGE] for k in range(0, len(rows), LINES_PER_PAGE)] or [[]]
     objects: list[str] = ["", "", "<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica >>"]
@@ -22,8 +48,8 @@ def pdf(title: str, rows: list[tuple[str, str]]) -> bytes:
         draw, notes = [f"BT /F1 12 Tf 40 800 Td ({safe(title)}) Tj ET"], []
         for n, (text, url) in enumerate(page):
             y = 780 - 15 * n
-            draw.append(f"BT /F1 8 Tf 40 {y} Td ({safe(text)[:120]}) Tj ET")
-            objects.append(f"<< /Type /Annot /Subtype /Link /Border [0 0 0] /Rect [40 {y - 2} 550 {y + 9}] /A << /S /URI /URI ({safe(url)}) >> >>")
+            draw.append(f"BT /F1 8 Tf 40 {y} Td ({safe(text)}) Tj ET")
+            objects.append(f"<< /Type /Annot /Subtype /Link /Border [0 0 0] /Rect [40 {y - 2} 550 {y + 9}] /A << /S /URI /URI ({safe(link_target(url))}) >> >>")
             notes.append(f"{len(objects)} 0 R")
         body = "\n".join(draw)
         objects.append(f"<< /Length {len(body.encode('latin-1'))} >>\nstream\n{body}\nendstream")
@@ -38,25 +64,38 @@ def pdf(title: str, rows: list[tuple[str, str]]) -> bytes:
     return out + f"xref\n0 {len(at) + 1}\n0000000000 65535 f \n{xref}trailer\n<< /Size {len(at) + 1} /Root 1 0 R >>\nstartxref\n{len(out)}\n%%EOF\n".encode("latin-1")
 
 
+def pdf_links(data: bytes) -> list[str]:
+    """Targets of the links of a file that `pdf` made, in order, each run of equal ones once."""
+    found = [re.sub(r"\\([\\()])", r"\1", x.decode("latin-1")) for x in re.findall(rb"/URI \(((?:[^\\()]|\\.)*)\)", data)]
+    return [x for k, x in enumerate(found) if not k or found[k - 1] != x]
+
+
 def rendered(manifest: DataFrame) -> DataFrame:
-    """bundle, part_no, host, url to bundle, part_no, pdf, xlsx (binary). A part is bounded by the caps of the split."""
+    """bundle, part_no, host, url and, if there is one, evidence array to bundle, part_no, pdf, xlsx (binary). A part is bounded by the caps of the split.
+
+    In the PDF a url's evidence follows it, line by line; in the workbook it is a column, and urls are hyperlinks.
+    """
+    if "evidence" not in manifest.columns:
+        manifest = manifest.withColumn("evidence", F.array().cast("array<string>"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, rows = None, []
 
         def close():
-            lines = [(f"{h}  {u}", u) for h, u in rows]
-            return pd.DataFrame([{"bundle": key[0], "part_no": key[1], "pdf": pdf(f"{key[0]} part {key[1]}", lines), "xlsx": workbook(["host", "url"], [list(r) for r in rows])}])
+            lines = [x for h, u, e in rows for x in ((f"{h}  {u}", u), *((f"    evidence: {r}", r) for r in e))]
+            links = {n: link_target(u) for n, (_, u, _) in enumerate(rows, 1)}
+            sheet = workbook(["host", "url", "evidence"], [[h, u, ", ".join(e)] for h, u, e in rows], links)
+            return pd.DataFrame([{"bundle": key[0], "part_no": key[1], "pdf": pdf(f"{key[0]} part {key[1]}", lines), "xlsx": sheet}])
 
         for f in frames:
-            for b, p, h, u in zip(f["bundle"], f["part_no"], f["host"], f["url"]):
+            for b, p, h, u, e in zip(f["bundle"], f["part_no"], f["host"], f["url"], f["evidence"]):
                 if key != (b, p):
                     if rows:
                         yield close()
                     key, rows = (b, p), []
-                rows.append((h, u))
+                rows.append((h, u, list(e) if e is not None else []))
         if rows:
             yield close()
 
-    dealt = manifest.select("bundle", "part_no", "host", "url").repartition("bundle", "part_no").sortWithinPartitions("bundle", "part_no", "url")
+    dealt = manifest.select("bundle", "part_no", "host", "url", "evidence").repartition("bundle", "part_no").sortWithinPartitions("bundle", "part_no", "url")
     return dealt.mapInPandas(run, "bundle string, part_no long, pdf binary, xlsx binary")

@@ -7,13 +7,14 @@ import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
-from xml.sax.saxutils import escape
+from xml.sax.saxutils import escape, quoteattr
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
 def column_number(ref: str) -> int:
@@ -53,7 +54,9 @@ def read_rows(data: bytes) -> Iterator[list[str | None]]:
 
 
 def workbook(header: list[str], rows: list[list], links: dict[int, str] | None = None) -> bytes:
-    """A workbook of one sheet with inline strings. Control characters that XML has no place for become blanks."""
+    """A workbook of one sheet with inline strings; links: targets by number of the row, from 1, for the cells of the second column.
+
+    Control characters that XML has no place for become blanks."""
     clean = lambda x: escape(re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f]", " ", str(x)))
     lines = []
     for r, row in enumerate([header, *rows], 1):
@@ -69,6 +72,11 @@ def workbook(header: list[str], rows: list[list], links: dict[int, str] | None =
         "xl/_rels/workbook.xml.rels": f'{head}<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
         "xl/worksheets/sheet1.xml": f'{head}<worksheet {space}><sheetData>{"".join(lines)}</sheetData></worksheet>',
     }
+    if links:
+        marks = "".join(f'<hyperlink ref="B{n + 1}" r:id="rId{n}"/>' for n in links)
+        files["xl/worksheets/sheet1.xml"] = f'{head}<worksheet {space} xmlns:r="{rel}"><sheetData>{"".join(lines)}</sheetData><hyperlinks>{marks}</hyperlinks></worksheet>'
+        targets = "".join(f'<Relationship Id="rId{n}" Type="{rel}/hyperlink" Target={quoteattr(url)} TargetMode="External"/>' for n, url in links.items())
+        files["xl/worksheets/_rels/sheet1.xml.rels"] = f'{head}<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{targets}</Relationships>'
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for name, body in files.items():
@@ -76,6 +84,15 @@ def workbook(header: list[str], rows: list[list], links: dict[int, str] | None =
     return out.getvalue()
 
 
+def read_links(data: bytes) -> list[str]:
+    """Targets of the hyperlinks of the first sheet, in order of their rows."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        if "xl/worksheets/_rels/sheet1.xml.rels" not in z.namelist():
+            return []
+        target = {x.get("Id"): x.get("Target") for x in ElementTree.fromstring(z.read("xl/worksheets/_rels/sheet1.xml.rels"))}
+        return [target[x.get(RELATION_ID)] for x in ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml")).iter(f"{MAIN}hyperlink")]
+
+
 def read_excel(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Workbooks under path, by header; columns that a workbook lacks are null. Files come through Spark's own reader, so any store will do."""
     names = schema.fieldNames()

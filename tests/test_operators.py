@@ -178,3 +178,40 @@ def test_harvest(spark):
 def test_keywords(spark, tmp_path):
     (tmp_path / "k.txt").write_text("casino\n# no\n\n free bets \ncasino\n")
     assert {r["term"] for r in seeds.keyword_list(spark, f"file://{tmp_path}/k.txt").collect()} == {"casino", "free bets"}
+
+
+def test_link_targets():
+    assert bundles.link_target("https://例え.jp/ü/日本?q=ä b") == "https://xn--r8jz45g.jp/%C3%BC/%E6%97%A5%E6%9C%AC?q=%C3%A4%20b"
+    assert bundles.link_target("http://a.com/x%20y?b=(1)#c") == "http://a.com/x%20y?b=%281%29#c" and bundles.link_target("evidence/1.png") == "evidence/1.png"
+    long = "https://a.com/" + "x" * 300
+    data = bundles.pdf("t", [(f"a.com  {long}", long), ("evidence", "https://例え.jp/")])
+    assert bundles.pdf_links(data) == [long, "https://xn--r8jz45g.jp/"] and data.count(b"Tj") == 1 + 3 + 1
+
+
+def test_workbook_links():
+    data = sheets.workbook(["host", "url"], [["a", "https://a.com/?x=1&y=2"], ["b", "https://b.org/"]], {1: "https://a.com/?x=1&y=2", 2: "https://b.org/"})
+    assert sheets.read_links(data) == ["https://a.com/?x=1&y=2", "https://b.org/"] and sheets.read_links(sheets.workbook(["a"], [])) == []
+
+
+def test_ranges_number_one_heavy_bundle(spark):
+    items = spark.range(2500).select(F.when(F.col("id") % 5 > 0, "big").alias("b"), (F.col("id") * 7919 % 2500).alias("k"), F.lit(3).alias("s"))
+    got = export.split_links(items, "b", ["k"], Config(max_links=100)).groupBy("b", "part_no").agg(F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")).collect()
+    big = sorted((r["part_no"], r["n"], r["lo"], r["hi"]) for r in got if r["b"])
+    assert [x[:2] for x in big] == [(k, 100) for k in range(20)] and all(x[3] < y[2] for x, y in zip(big, big[1:])) and sum(r["n"] for r in got) == 2500
+    sums = sorted((r["k"], r["running"]) for r in export.running_bytes(items.filter("b IS NULL"), "b", "k", "s").collect())
+    assert [r for _, r in sums] == [3 * (n + 1) for n in range(500)]
+
+
+def test_long_lexicons_score_alike(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "Free-bets! casino, casino"), (2, "nothing"), (3, None), (4, "a free  bets win")], "id int, t string")
+    lists = lexicon.terms(spark)
+    want = sorted(tuple(r) for r in lexicon.lexicon_scores(texts, lists, "id", "t").collect())
+    assert want[0] == (1, 3, 6.0) and want[1:3] == [(2, 0, 0.0), (3, 0, 0.0)]
+    monkeypatch.setattr(lexicon, "PLAN_TERMS", 3)
+    assert sorted(tuple(r) for r in lexicon.lexicon_scores(texts, lists, "id", "t").collect()) == want
+
+
+def test_gate_spares_models(spark):
+    pages = spark.createDataFrame([("a.com", "bet", 0.99), ("b.com", "bet", 0.01), ("c.com", "casino bet", 0.5), ("d.com", "x", None)], "host string, excerpt string, p double")
+    got = {r["host"]: (r["verdict"], r["decided_by"], r["tokens"] > 0) for r in cascade.classify(pages, Config(ai_concurrency=1)).collect()}
+    assert got == {"a.com": ("flag", "gate", False), "b.com": ("clear", "gate", False), "c.com": ("flag", "agreed", True), "d.com": ("clear", "agreed", True)}
