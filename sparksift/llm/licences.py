@@ -173,6 +173,7 @@ def licence_scan(docs: DataFrame, texts: list[tuple[str, str]] | None = None, th
 
 
 def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents; null and empty texts have no matches. Repeated rows each give a row, an empty table gives an empty one."""
     found = licence_scan(table(spark, sf_dir, "documents"))
     best = F.array_min(F.transform("matches", lambda x: F.struct((-x["dice"]).alias("d"), x["licence"].alias("k"))))
     return found.select(

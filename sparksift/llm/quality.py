@@ -109,7 +109,9 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def clean_documents(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", rules: Rules = Rules()) -> DataFrame:
-    """The kept rows of docs, all columns, with failed lines taken out of the text; chars_col gets its new length."""
+    """The kept rows of docs, all columns, with failed lines taken out of the text; chars_col gets its new length.
+
+    Null and empty texts have no words and go; repeated rows stay or go alike; an empty table gives an empty one."""
     need(docs, [text_col])
     columns = docs.columns
     # Written before it is filtered: a filter would be written out in all the expressions that its columns rest on, which
@@ -122,6 +124,7 @@ def clean_documents(docs: DataFrame, text_col: str = "text", chars_col: str | No
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents; null counts as no words, repeated rows each give a row, an empty table gives an empty one."""
     # Written, so that what is built on top of it meets columns and not their expressions.
     return staged(quality_report(table(spark, sf_dir, "documents")).drop("clean"), "report")
 

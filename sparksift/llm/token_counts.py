@@ -147,6 +147,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents; null counts as empty. Repeated rows each give a row, an empty table gives an empty one."""
     import public_tokenizers
 
     counted = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -114,6 +114,7 @@ def filter_urls(pages: DataFrame, rules=RULES, mining: Mining = Mining(), id_col
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of pages; null urls and those without :// have an empty host and path. Repeated rows each give a row, an empty table gives an empty one."""
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
