@@ -11,27 +11,29 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: failed lines are taken out, documents that fail or lose too much go."""
+    """Operator 6: failed lines are taken out, documents that fail or lose too much go, null and empty texts with them. Repeated rows go or stay alike."""
     return quality.clean_documents(docs)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: learns from the labelled documents of this stage's input, and drops what it scores as toxic."""
+    """Operator 2: learns from the labelled documents of this stage's input, and drops what it scores as toxic.
+
+    Null and empty texts have the score of no features; without labels of both kinds all rows get the label there is, or stay."""
     return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: one document of each class of near copies stays."""
+    """Operator 9: one document of each class of near copies stays, the one of the least id; of repeated rows one, of rows without words all."""
     return jaccard_join.one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: words inside windows of benchmark items are taken out of the texts."""
+    """Operator 10: words inside windows of benchmark items are taken out of the texts. Rows all stay, null texts as they are."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), "spans")
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: token ids of each text, their count and digests of ids and decoded text."""
+    """Operator 4: each text's number of tokens, and digests of its ids and decoded text; a null text counts as empty."""
     import public_tokenizers
 
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path(TOKENIZER)))
@@ -50,7 +52,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written and read again."""
+    """All stages over documents; each result is written and read again. Empty tables give an empty result."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
