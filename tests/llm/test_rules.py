@@ -2,6 +2,7 @@
 
 import random
 import re
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
@@ -105,6 +106,61 @@ def test_url_mining(spark):
     assert (got[100], got[101], got[102]) == ("block", "allow", "allow")
 
 
+def mined_verdict(rows, items, mining):
+    """The best rule on any combination of tokens, by counting all of them. rows: (token set, label)."""
+    best = None
+    for k in range(1, len(items) + 1):
+        for a in combinations(sorted(items), k):
+            held = [v for x, v in rows if set(a) <= x]
+            for v in {*held}:
+                c = held.count(v)
+                confidence, share = c / len(held), sum(1 for _, w in rows if w == v) / len(rows)
+                if c >= mining.min_support * len(rows) and confidence >= mining.min_confidence and confidence / share > mining.over_lift:
+                    best = max(best or (0, 0, ""), (confidence, c, v))
+    return best[2] if best else mining.default
+
+
+def tokens(host, path):
+    labels = host.split(".")
+    return {f"h:{x}" for x in labels} | {f"t:{labels[-1]}"} | {"p:" + re.sub("[0-9]+", "9", x) for x in path.split("/") if x}
+
+
+def test_url_mining_equals_counting(spark):
+    rng = random.Random(3)
+    urls = [f"http://{rng.choice('abc')}.{rng.choice(['example', 'shop'])}.{rng.choice(['com', 'net', 'org'])}/{rng.choice(['en', 'fr', 'es'])}/{rng.choice(['x', 'y/z', 'p/q'])}/" for _ in range(160)]
+    mining = url_filter.Mining(min_support=0.05, min_confidence=0.7)
+    got = url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string"), mining=mining).collect()
+    listed = [(tokens(r["host"], r["path"]), r["verdict"]) for r in got if r["rule"]]
+    assert 40 < len(listed) < 150 and len({r["verdict"] for r in got if not r["rule"]}) == 2
+    for r in got:
+        if not r["rule"]:
+            assert r["verdict"] == mined_verdict(listed, tokens(r["host"], r["path"]), mining), r
+
+
+def test_url_template_counts_once(spark):
+    """Thirty path parts that all urls of a site share would be a milliard of itemsets; any one of them finds the site."""
+    shared = "/".join(f"part{chr(97 + k % 26)}{'z' * (k // 26)}" for k in range(30))
+    urls = [(i, f"http://s{i}.net/es/{shared}/") for i in range(60)] + [(100 + i, f"http://t{i}.com/a/{i}") for i in range(60)] + [(200, "http://new.org/partb/"), (201, "http://new.org/other/")]
+    pages = spark.createDataFrame(urls, "page_id bigint, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(pages).collect()}
+    assert (got[200], got[201]) == ("block", "allow")
+
+
+def test_url_rules_held_out(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i}.example.com/{'en' if i % 2 else 'de'}/{'abcdefgh'[i % 8] * 3}/") for i in range(400)], "page_id bigint, url string")
+    got = {r["verdict"]: (r["n"], r["n_right"]) for r in url_filter.held_out(pages).collect()}
+    assert set(got) == {"allow", "block"} and all(0 < n == right for n, right in got.values()) and sum(n for n, _ in got.values()) < 200
+    assert url_filter.held_out(pages.limit(0)).count() == 0 and url_filter.held_out(spark.createDataFrame([(1, None)], "page_id bigint, url string")).count() == 0
+
+
+def test_url_copies(spark, monkeypatch):
+    """Sets with more copies than one row stands for are laid out whole."""
+    monkeypatch.setattr(url_filter, "COPIES", 7)
+    sets = spark.createDataFrame([(["a"], "block", 50), (["a", "b"], "allow", 21), ([], "allow", 29)], "classes array<string>, label string, n bigint")
+    got = {(tuple(r["antecedent"]), r["verdict"]): (round(r["confidence"], 6), round(r["support"], 6)) for r in url_filter.mined_rules(sets, url_filter.Mining(0.01, 0.5)).collect()}
+    assert got == {(("a",), "block"): (round(50 / 71, 6), 0.5), (("b",), "allow"): (1.0, 0.21), (("a", "b"), "allow"): (1.0, 0.21)}
+
+
 def brute(text, items):
     words = lambda x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), x or ""))
     w, hit, whose = words(text), set(), set()
