@@ -9,6 +9,8 @@ Beside that stands the base verdict over the whole text: too few words, or too m
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,12 @@ BOILERPLATE = (
     r"(enable|requires) javascript|click here|sign up|log ?in to|subscribe (now|to)|skip to (main )?content|"
     r"share (this )?on (facebook|twitter)|follow us|powered by|back to top"
 )
+#: A lower-cased line without any of these holds no BOILERPLATE; plain searches are far cheaper than its pattern.
+NEEDED = (
+    " rights reserved", "cookie ", "privacy policy", "terms of ", " javascript", "click here", "sign up", "in to", "subscribe ", "skip to ",
+    "share ", "follow us", "powered by", "back to top",
+)
+MARKS = r"[#*$%&|<>»›·•]|!!"
 WINDOW = 5
 
 
@@ -41,19 +49,22 @@ class Rules:
     max_lost: float = 0.5
 
 
-def line_fails(line: Column, rules: Rules) -> Column:
-    """Whether a line that has a word fails a rule."""
-    n = F.regexp_count(line, F.lit(WORD))
+def any_of(text: Column, parts: tuple[str, ...]) -> Column:
+    """Whether text, lower-cased once, holds one of parts."""
+    return F.exists(F.array(F.lower(text)), lambda x: reduce(or_, (x.contains(part) for part in parts)))
+
+
+def line_fails(line: Column, n: Column, rules: Rules) -> Column:
+    """Whether a line of n > 0 words fails a rule."""
     symbols = F.regexp_count(line, F.lit(SYMBOL))
     bangs = F.regexp_count(line, F.lit("!!"))
     separators = F.regexp_count(line, F.lit(SEPARATOR))
-    return (
+    marks = (
         ((symbols >= rules.least_marks) & (symbols > rules.symbols_per_word * n))
         | ((bangs >= rules.least_marks) & (bangs > rules.bangs_per_word * n))
         | ((separators >= rules.least_marks) & (separators > rules.separators_per_word * n))
-        | ((n <= rules.stub_words) & ~line.rlike(ENDING))
-        | ((n <= 30) & line.rlike(BOILERPLATE))
     )
+    return (line.rlike(MARKS) & marks) | ((n <= rules.stub_words) & ~line.rlike(ENDING)) | ((n <= 30) & any_of(line, NEEDED) & line.rlike(BOILERPLATE))
 
 
 def word_chars(text: Column) -> Column:
@@ -65,15 +76,16 @@ def measured(docs: DataFrame, text_col: str, rules: Rules = Rules()) -> DataFram
     o = lambda name: f"{OWN}{name}"
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = docs.withColumn(o("text"), text)
-    df = df.withColumns({o("words"): F.regexp_extract_all(F.col(o("text")), F.lit(WORD), 0), o("lines"): F.filter(F.split(o("text"), "\n", -1), lambda x: x.rlike(WORD))})
+    df = df.withColumns({o("words"): F.regexp_extract_all(F.col(o("text")), F.lit(WORD), 0), o("parsed"): F.transform(F.split(o("text"), "\n", -1), lambda x: F.struct(x.alias("line"), F.regexp_count(x, F.lit(WORD)).alias("n")))})
+    df = df.withColumn(o("lines"), F.filter(o("parsed"), lambda x: x["n"] > 0)["line"])
     df = df.withColumns({
         o("n_words"): F.size(o("words")).cast("long"),
         # 64-bit hashes stand for words and windows; two windows of one text that differ share one with a chance of about n^2 / 2^65.
         o("hashes"): F.transform(o("words"), lambda x: F.xxhash64(x)),
-        o("word_chars"): word_chars(F.col(o("text"))),
+        o("word_chars"): F.length(F.array_join(o("words"), "")).cast("long"),
         o("n_symbols"): F.regexp_count(F.col(o("text")), F.lit(SYMBOL)).cast("long"),
         o("n_dup_lines"): (F.size(o("lines")) - F.size(F.array_distinct(o("lines")))).cast("long"),
-        o("kept_lines"): F.filter(F.split(o("text"), "\n", -1), lambda x: ~x.rlike(WORD) | ~line_fails(x, rules)),
+        o("kept_lines"): F.filter(o("parsed"), lambda x: (x["n"] == 0) | ~line_fails(x["line"], x["n"], rules))["line"],
     })
     h = F.col(o("hashes"))
     at = lambda i, k: F.get(h, i + k)
@@ -91,7 +103,8 @@ def measured(docs: DataFrame, text_col: str, rules: Rules = Rules()) -> DataFram
     covered = F.aggregate(F.transform(p, lambda x, j: F.least(F.lit(WINDOW), F.coalesce(F.get(p, j + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
     df = df.withColumns({o("n_repeat_words"): F.coalesce(covered, F.lit(0)).cast("long"), o("clean"): F.array_join(o("kept_lines"), "\n")})
     base = (F.col(o("n_words")) < rules.min_words) | (100 * F.col(o("n_repeat_words")) > rules.max_repeat_percent * F.col(o("n_words")))
-    left = word_chars(F.col(o("clean")))
+    whole = F.size(o("kept_lines")) == F.size(o("parsed"))
+    left = F.when(whole, F.col(o("word_chars"))).otherwise(word_chars(F.col(o("clean"))))
     df = df.withColumn(o("base_failed"), base)
     return df.withColumn(o("kept"), ~F.col(o("base_failed")) & (left >= (1 - rules.max_lost) * F.col(o("word_chars"))))
 

@@ -40,6 +40,18 @@ def test_quality_edges(spark, documents, edge_rows):
     assert kept.filter("n_chars <> length(text)").count() == 0
 
 
+def test_quality_gates_lose_no_line(spark):
+    """The cheap searches before the patterns let every line through that a pattern finds."""
+    notices = ["All rights reserved", "COOKIE settings", "cookie policy", "cookie notice", "Privacy Policy", "terms of use", "TERMS of Service", "enable JavaScript", "requires javascript", "click here", "Sign Up", "log in to", "LOGIN to",
+               "subscribe now", "Subscribe to", "skip to content", "skip to main content", "share on Facebook", "share this on twitter", "follow us", "Powered By", "back to TOP"]
+    marks = [f"words {m * 3} here." for m in "#*$%&|<>»›·•"] + ["wow !!!!!! there."]
+    plain = ["Nothing of that kind is in this line.", "The cookie jar was back to its place.", "Straße, ÇA va et plus encore, İstanbul."]
+    df = spark.createDataFrame([(f"{x}, and so on." if x in notices else x,) for x in notices + marks + plain], "t string")
+    n = F.regexp_count("t", F.lit(quality.WORD))
+    got = {r["t"]: r["f"] for r in df.select("t", quality.line_fails(F.col("t"), n, quality.Rules()).alias("f")).collect()}
+    assert [t for t, f in got.items() if not f] == plain
+
+
 def dice(a, b):
     grams = lambda x: set(zip(w := re.findall(r"[0-9a-z]+", x.lower()), w[1:]))
     a, b = grams(a), grams(b)
