@@ -396,7 +396,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     signed = staged(_signed(docs, id_col, text_col, join), "signatures")
     some = signed.filter("node IS NOT NULL")
-    nodes = staged(some.groupBy("node").agg(F.count("*").alias("copies"), F.min(F.struct("id", "th")).alias("rep"), F.min("size").alias("size"), F.min("bytes").alias("bytes")), "nodes")
+    nodes = staged(some.groupBy("node").agg(F.count("*").alias("copies"), F.min(F.struct(F.col("id").isNull().alias("bare"), "id", "th")).alias("rep"), F.min("size").alias("size"), F.min("bytes").alias("bytes")), "nodes")
     every = some.select("node", F.explode("bands").alias("band"))
     full = every.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("band")
     banded = staged(every.join(full, "band").distinct(), "buckets")
@@ -457,3 +457,44 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of documents with its class and number of links; rows without words are alone, an empty table gives an empty one."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+#: An exact join of prefixes: sets as similar as 0.8 share one of the rarest shingles of each. Classes by reach over links.
+OP9_SQL = r"""
+WITH RECURSIVE rows_of AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')))) END AS s
+  FROM rows_of WHERE len(w) > 0
+),
+nodes AS (SELECT row_number() OVER () AS n, s, len(s) AS size, count(*) AS copies, min(doc_id) AS least FROM sets GROUP BY s),
+shingles AS (SELECT n, size, unnest(s) AS t FROM nodes),
+rarity AS (SELECT t, count(*) AS c FROM shingles GROUP BY t HAVING count(*) > 1),
+ranked AS (
+  SELECT n, size, t, coalesce(c, 1) AS c, row_number() OVER (PARTITION BY n ORDER BY coalesce(c, 1), t) AS k
+  FROM shingles LEFT JOIN rarity USING (t)
+),
+prefixes AS (SELECT n, size, t FROM ranked WHERE k <= size - (4 * size + 4) // 5 + 1 AND c > 1),
+candidates AS (
+  SELECT DISTINCT a.n AS x, b.n AS y FROM prefixes a JOIN prefixes b USING (t)
+  WHERE a.n < b.n AND 10 * least(a.size, b.size) >= 8 * greatest(a.size, b.size)
+),
+shared AS (
+  SELECT x, y, a.size + b.size AS both_sizes, len(list_intersect(a.s, b.s)) AS common, a.copies AS cx, b.copies AS cy
+  FROM candidates JOIN nodes a ON a.n = x JOIN nodes b ON b.n = y
+),
+links AS (SELECT x, y, cx, cy FROM shared WHERE 10 * common >= 8 * (both_sizes - common)),
+sides AS (SELECT x AS n, y AS m, cy AS c FROM links UNION ALL SELECT y, x, cx FROM links),
+reach AS (SELECT n, m FROM sides UNION SELECT reach.n, sides.m FROM reach JOIN sides ON reach.m = sides.n),
+classes AS (SELECT reach.n, min(o.least) AS least FROM reach JOIN nodes o ON o.n = reach.m GROUP BY reach.n),
+counts AS (SELECT n, sum(c) AS c FROM sides GROUP BY n),
+of_node AS (
+  SELECT s, coalesce(least(classes.least, nodes.least), classes.least, nodes.least) AS class_id, copies - 1 + coalesce(counts.c, 0) AS n_links
+  FROM nodes LEFT JOIN classes USING (n) LEFT JOIN counts USING (n)
+)
+SELECT rows_of.doc_id, CASE WHEN of_node.s IS NULL THEN rows_of.doc_id ELSE class_id END AS class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM rows_of LEFT JOIN sets USING (r) LEFT JOIN of_node ON of_node.s = sets.s
+"""

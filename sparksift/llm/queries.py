@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op4_bpe_encoding
 from .decontaminate import OP10_SQL, op10_decontamination
-from .jaccard_join import op9_jaccard_join
+from .jaccard_join import OP9_SQL, op9_jaccard_join
 from .licences import OP1_SQL, op1_licence_scan
 from .lm_scoring import op7_lm_scoring
 from .quality import OP6_SQL, op6_quality_rules
@@ -34,5 +34,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_licence_scan": OP1_SQL,
     "op3_url_filter": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
+    "op9_jaccard_join": OP9_SQL,
     "op10_decontamination": OP10_SQL,
 }

@@ -121,6 +121,13 @@ def test_join_edges(spark, documents, edge_rows):
     assert jaccard_join.one_of_each(documents(edge_rows).limit(0)).count() == 0
 
 
+def test_class_id_is_an_id_where_a_copy_has_one(spark, documents):
+    text = "one two three four five six seven eight nine ten"
+    got = jaccard_join.near_duplicates(documents([(None, text), (9, text), (8, text + " eleven"), (None, text + " eleven")])).collect()
+    assert {r["class_id"] for r in got} == {8} and {r["n_links"] for r in got} == {3}
+    got = jaccard_join.near_duplicates(documents([(None, text), (9, text)])).collect()
+    assert {r["class_id"] for r in got} == {9}
+
 
 def test_rows_without_words_stay_beside_repeated_rows(spark, documents):
     bare = [(None, ""), (None, ""), (None, None), (None, None), (7, " . "), (7, " . ")]
