@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    where = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder. Only where the session names none, as on one machine, a folder of our own, which the context keeps."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
-        where = tempfile.mkdtemp(prefix="sparksift-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparksift-"))
+        where = spark.sparkContext.getCheckpointDir()
     return f"{where.rstrip('/')}/sparksift"
 
 

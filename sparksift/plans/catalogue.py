@@ -99,7 +99,7 @@ def q_term_rlike(spark, sf_dir):
 
 @query(f"WITH {SCORES} SELECT page_id, hits, weight FROM sc")
 def q_lexicon_theta(spark, sf_dir):
-    return lexicon.lexicon_scores(page_texts(spark, sf_dir), lexicon.terms(spark), "page_id", "txt")
+    return lexicon.lexicon_scores(page_texts(spark, sf_dir), lexicon.terms(spark), "page_id", "txt").drop("guarded")
 
 
 GUARD = f"({sql_hits('txt', lexicon.GUARDS)} > 0 AND {sql_hits('txt', lexicon.STRONG)} = 0)"
@@ -456,8 +456,8 @@ SELECT host, pages, weight, bytes, CASE WHEN named THEN 'flag' WHEN guarded THEN
 def q_host_verdict(spark, sf_dir):
     """The flagship: pages to hosts, text scores and guard, verdict of each host, export part."""
     pages = read(spark, sf_dir, "pages").select("page_id", fx.host_of(F.col("url")).alias("host"), fx.text_of(F.col("html")).alias("txt"), F.octet_length("html").cast("long").alias("bytes")).filter("host IS NOT NULL")
-    scored = lexicon.lexicon_scores(pages, lexicon.terms(spark), "page_id", "txt").select("page_id", "weight")
-    rows = pages.withColumn("guarded", lexicon.guarded(F.col("txt"))).withColumn("named", F.col("host").rlike("casino|bets|pills|spam")).drop("txt").join(scored, "page_id")
+    named = pages.withColumn("named", F.col("host").rlike("casino|bets|pills|spam"))
+    rows = lexicon.lexicon_scores(named, lexicon.terms(spark), "page_id", "txt", ("host", "bytes", "named"))
     hosts = rows.groupBy("host").agg(F.count("*").alias("pages"), F.max("weight").alias("weight"), F.bool_and("guarded").alias("guarded"), F.bool_or("named").alias("named"), F.sum("bytes").alias("bytes"))
     verdict = F.when(F.col("named"), "flag").when(F.col("guarded"), "clear").when(F.col("weight") >= 3, "flag").when(F.col("weight") == 0, "clear").otherwise("unsure")
     return export.split_links(hosts.withColumn("verdict", verdict), "verdict", ["host"], Config()).drop("guarded", "named")

@@ -2,6 +2,10 @@
 
 import datetime
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -54,6 +58,20 @@ def test_entry_has_all_hosts(spark):
     assert __spark_entry__.entry(spark).count() == 32
 
 
+@pytest.mark.parametrize("gone", [("sparksift/llm", "tests/llm"), ("sparksift/llm", "tests/llm", "corpus_pipeline.py")])
+def test_entry_without_the_subpackage(tmp_path, gone):
+    root = Path(__file__).resolve().parents[1]
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", ".pytest_cache"))
+    for name in gone:
+        at = copy / name
+        shutil.rmtree(at) if at.is_dir() else at.unlink()
+    (copy / "sparksift/llm/__pycache__").mkdir(parents=True)  # what a deletion of sources may leave
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print('NAMES', *e.queries(), '|', *e.oracle_sql())"], cwd=copy, env=os.environ | {"PYTHONPATH": str(copy)}, capture_output=True, text=True)
+    names, _, sql = said.stdout.partition("NAMES ")[2].partition(" | ")
+    assert set(names.split()) == set(catalogue.QUERIES) and set(sql.split()) == set(catalogue.ORACLE_SQL), said.stderr
+
+
 def test_every_sql_has_a_query():
     import __spark_entry__
 

@@ -203,10 +203,11 @@ def test_ranges_number_one_heavy_bundle(spark):
 
 
 def test_long_lexicons_score_alike(spark, monkeypatch):
-    texts = spark.createDataFrame([(1, "Free-bets! casino, casino"), (2, "nothing"), (3, None), (4, "a free  bets win")], "id int, t string")
+    texts = spark.createDataFrame([(1, "Free-bets! casino, casino"), (2, "nothing"), (3, None), (4, "a free  bets win"), (5, "Hotel news, win")], "id int, t string")
     lists = lexicon.terms(spark)
     want = sorted(tuple(r) for r in lexicon.lexicon_scores(texts, lists, "id", "t").collect())
-    assert want[0] == (1, 3, 6.0) and want[1:3] == [(2, 0, 0.0), (3, 0, 0.0)]
+    assert want[0] == (1, False, 3, 6.0) and want[1:3] == [(2, False, 0, 0.0), (3, False, 0, 0.0)]
+    assert want[4] == (5, True, 1, 0.5)
     monkeypatch.setattr(lexicon, "PLAN_TERMS", 3)
     assert sorted(tuple(r) for r in lexicon.lexicon_scores(texts, lists, "id", "t").collect()) == want
 
