@@ -11,6 +11,7 @@ from .decontaminate import OP10_SQL, op10_decontamination
 from .jaccard_join import OP9_SQL, op9_jaccard_join
 from .licences import OP1_SQL, op1_licence_scan
 from .lm_scoring import op7_lm_scoring
+from .merkle import OP12_SQL, op12_merkle_manifest
 from .quality import OP6_SQL, op6_quality_rules
 from .sharding import op8_sharding
 from .token_counts import op5_token_counts
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -36,4 +38,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": OP6_SQL,
     "op9_jaccard_join": OP9_SQL,
     "op10_decontamination": OP10_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
