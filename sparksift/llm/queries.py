@@ -12,6 +12,7 @@ from .jaccard_join import OP9_SQL, op9_jaccard_join
 from .licences import OP1_SQL, op1_licence_scan
 from .lm_scoring import op7_lm_scoring
 from .merkle import OP12_SQL, op12_merkle_manifest
+from .packing import op13_packing
 from .quality import OP6_SQL, op6_quality_rules
 from .sharding import op8_sharding
 from .token_counts import op5_token_counts
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_packing": op13_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
