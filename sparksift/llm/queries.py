@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op4_bpe_encoding
+from .conversations import OP11_SQL, op11_conversation_repair
 from .decontaminate import OP10_SQL, op10_decontamination
 from .jaccard_join import OP9_SQL, op9_jaccard_join
 from .licences import OP1_SQL, op1_licence_scan
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_packing": op13_packing,
 }
@@ -40,5 +42,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": OP6_SQL,
     "op9_jaccard_join": OP9_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
 }
