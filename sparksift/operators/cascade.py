@@ -94,27 +94,32 @@ def vision_check(shots: DataFrame, config: Config, client: Vision = stub_vision)
     return written(shots.select("path", "content").repartition(config.check_concurrency).mapInPandas(run, "name string, verdict string"), "vision")
 
 
-def classify(pages: DataFrame, config: Config, client: Client = stub_client) -> DataFrame:
+def classify(pages: DataFrame, config: Config, client: Client = stub_client, store=None) -> DataFrame:
     """host, excerpt and, if there is one, p to host, verdict, decided_by, tokens: validator after primary, tiebreaker only on disagreement.
 
+    With a store of replies (replies.ReplyStore) only what it lacks is asked; a host then has one excerpt.
+
     With p, the fast path's probability, the gate is asked first, and only hosts that it leaves open go to a model. In
     fast mode a confident primary needs no validator.
     """
     if "p" in pages.columns:
         judged = gate(F.col("p"), config)
         sure = pages.filter(judged.isNotNull()).select("host", judged.alias("verdict"), F.lit("gate").alias("decided_by"), F.lit(0).cast("long").alias("tokens"))
-        return sure.unionByName(classify(pages.filter(judged.isNull()).drop("p"), config, client))
+        return sure.unionByName(classify(pages.filter(judged.isNull()).drop("p"), config, client, store))
+
+    def ask(rows: DataFrame, role: str) -> DataFrame:
+        return store.replies(rows, role, client, config) if store else call_model(rows, role, client, config)
 
     def parsed(replies: DataFrame, role: str) -> DataFrame:
         fields = reply_fields(F.col("raw"))
         return replies.select("host", fields["verdict"].alias(role), fields["confidence"].alias(f"{role}_confidence"), F.col("tokens").alias(f"{role}_tokens"))
 
-    first = parsed(call_model(pages, "primary", client, config), "primary")
+    first = parsed(ask(pages, "primary"), "primary")
     sure = F.lit(config.fast_mode) & (F.coalesce("primary_confidence", F.lit(0.0)) >= config.fast_confidence)
-    second = parsed(call_model(pages.join(first.filter(~sure), "host", "left_semi"), "validator", client, config), "validator")
+    second = parsed(ask(pages.join(first.filter(~sure), "host", "left_semi"), "validator"), "validator")
     both = first.join(second, "host", "left").withColumn("validator", F.when(sure, F.col("primary")).otherwise(F.col("validator")))
     split = both.filter(~F.col("primary").eqNullSafe(F.col("validator")))
-    third = parsed(call_model(pages.join(split, "host", "left_semi"), "tiebreaker", client, config), "tiebreaker")
+    third = parsed(ask(pages.join(split, "host", "left_semi"), "tiebreaker"), "tiebreaker")
     out = both.join(third, "host", "left")
     decided = consensus(F.col("primary"), F.col("validator"), F.col("tiebreaker"))
     tokens = sum((F.coalesce(f"{r}_tokens", F.lit(0)) for r in ("primary", "validator", "tiebreaker")), F.lit(0)).cast("long")

@@ -11,6 +11,7 @@ from ..config import Config
 from ..functions import text as fx
 from ..functions.storage import fresh_path, put_files, written
 from ..operators import cascade, export, lexicon, ml, report, state
+from ..operators.replies import ReplyStore
 from ..sources import bundles, seeds, sheets
 from ..streaming import checks
 
@@ -348,6 +349,24 @@ def q_gated_cascade(spark, sf_dir):
     return cascade.classify(host_excerpts(spark, sf_dir).withColumn("p", (F.length("host") % 21) / 20), Config())
 
 
+RESUMED = f"""WITH {STUB}, v AS (SELECT host, 1 AS run, excerpt FROM f UNION ALL SELECT host, 2, excerpt || ' casino' FROM f WHERE length(host) % 3 = 0),
+a AS (SELECT host, run, len(list_filter(string_split(excerpt, ' '), lambda x: x <> '')) AS w,
+len(list_filter(string_split(lower(excerpt), ' '), lambda x: trim(x, '.,') IN ('bet', 'bets', 'casino', 'jackpot', 'spin', 'odds', 'pills', 'win'))) + regexp_matches(host, 'casino|bets|pills|spam')::INT AS h FROM v),
+t AS (SELECT host, run, {STUB_OUT}, {STUB_TOKENS} AS tokens, CASE WHEN h = 1 THEN 3 ELSE 2 END AS calls FROM a)
+SELECT host, arg_max(verdict, run) AS verdict, arg_max(decided_by, run) AS decided_by, sum(tokens)::BIGINT AS paid, sum(calls)::BIGINT AS calls FROM t GROUP BY host"""
+
+
+@query(RESUMED)
+def q_reply_store(spark, sf_dir):
+    """A run over all hosts, the same again, and one after a third of the excerpts changed: what the store has been asked in all, and the last verdicts."""
+    store = ReplyStore(spark, fresh_path(spark, "reply-store"))
+    hosts = written(host_excerpts(spark, sf_dir), "hosts")
+    for pages in (hosts, hosts, hosts.withColumn("excerpt", F.when(F.length("host") % 3 == 0, F.concat("excerpt", F.lit(" casino"))).otherwise(F.col("excerpt")))):
+        judged = cascade.classify(pages, Config(), store=store)
+    paid = store.read().groupBy("host").agg(F.sum("tokens").alias("paid"), F.count("*").alias("calls"))
+    return judged.select("host", "verdict", "decided_by").join(paid, "host")
+
+
 @query(f"SELECT page_id::VARCHAR || '.png' AS name, CASE WHEN regexp_matches(url, 'casino|bets|pills|spam') THEN 'flag' ELSE 'clear' END AS verdict FROM pages")
 def q_vision_check(spark, sf_dir):
     return cascade.vision_check(spark.read.format("binaryFile").load(shots(spark, sf_dir)), Config())
