@@ -11,6 +11,7 @@ from ..config import Config
 from ..functions import text as fx
 from ..functions.storage import fresh_path, put_files, written
 from ..operators import cascade, export, lexicon, ml, report, state
+from ..operators.ranges import asof_join
 from ..operators.replies import ReplyStore
 from ..sources import bundles, seeds, sheets
 from ..streaming import checks
@@ -159,6 +160,15 @@ def q_status_change(spark, sf_dir):
     return moved.select("user_id", "event_id", F.col("before").alias("from_status"), F.col("event_type").alias("to_status"))
 
 
+@query("""SELECT p.event_id, p.user_id, v.event_id AS view_id, v.ts AS viewed_at FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'view' GROUP BY user_id, ts) v ON p.user_id = v.user_id AND p.ts >= v.ts""")
+def q_asof_view(spark, sf_dir):
+    """Each purchase with its user's newest view before it."""
+    log = check_log(spark, sf_dir)
+    views = log.filter("event_type = 'view'").select("user_id", F.col("ts").alias("viewed_at"), F.col("event_id").alias("view_id"))
+    return asof_join(log.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), views, "user_id", "ts", "viewed_at", ["view_id", "viewed_at"], "view_id").drop("ts")
+
+
 @query("""SELECT user_id, ts, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
 FROM (SELECT user_id, ts, event_id, event_type FROM events UNION ALL SELECT user_id, ts + INTERVAL 1 DAY, -event_id - 1, 'blocked' FROM events WHERE event_type = 'error')) WHERE rn = 1""")
 def q_store_upsert(spark, sf_dir):
