@@ -13,8 +13,9 @@ from ..functions.storage import fresh_path, put_files, written
 from ..operators import cascade, export, lexicon, ml, report, state
 from ..operators.ranges import asof_join
 from ..operators.replies import ReplyStore
+from ..schemas import EVENT
 from ..sources import bundles, seeds, sheets
-from ..streaming import checks
+from ..streaming import checks, timed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -466,6 +467,70 @@ def q_stream_status(spark, sf_dir):
     return checks.status_changes(spark, sf_dir)
 
 
+FOLLOWED = """SELECT v.user_id, v.event_id AS view_id, p.event_id AS purchase_id FROM events v JOIN events p ON v.user_id = p.user_id AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 6 HOURS
+WHERE v.event_type = 'view' AND p.event_type = 'purchase'"""
+
+
+def views_and_purchases(events):
+    views = events.filter("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("view_id"))
+    return views, events.filter("event_type = 'purchase'").select("user_id", F.col("ts").alias("bought_at"), F.col("event_id").alias("purchase_id"))
+
+
+@query(FOLLOWED)
+def q_interval_join(spark, sf_dir):
+    """Purchases within six hours after a view of the same user."""
+    return timed.interval_join(*views_and_purchases(read(spark, sf_dir, "events")), "user_id", "ts", "bought_at", 6 * 3600).select("user_id", "view_id", "purchase_id")
+
+
+def interval_stream(spark, sf_dir):
+    path = timed.delivered(read(spark, sf_dir, "events"), "ts", 3)
+    sides = [views_and_purchases(timed.followed(path, EVENT, "ts", "1 hour", spark))[k] for k in (0, 1)]
+    return timed.ran(timed.interval_join_stream(*sides, "user_id", "ts", "bought_at", "6 HOURS").select("user_id", "view_id", "purchase_id"), "append", "interval")
+
+
+@query(FOLLOWED)
+def q_stream_interval(spark, sf_dir):
+    """The same of two streams, with state that is dropped behind both watermarks."""
+    return interval_stream(spark, sf_dir).rows
+
+
+#: Events whose number ends so come five days at a time too late; the watermark is an hour behind the newest event.
+LATE, WAIT = "event_id % 50 = 7", "1 hour"
+
+
+@query("""WITH e AS (SELECT *, date_diff('day', (SELECT min(ts) FROM events)::DATE, ts::DATE) // 5 AS slot FROM events),
+w AS (SELECT max(slot) AS final, max(ts) - INTERVAL 1 HOUR AS last FROM e), b AS (SELECT max(ts) - INTERVAL 1 HOUR AS w FROM e, w WHERE event_id % 50 <> 7 AND slot < final - 1),
+k AS (SELECT e.* FROM e, w, b WHERE user_id IS NOT NULL AND NOT (event_id % 50 = 7 AND slot < final AND ts + INTERVAL 6 HOURS <= coalesce(b.w, ts))),
+n AS (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOURS THEN 0 ELSE 1 END AS opens FROM k),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM n),
+g AS (SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 HOURS AS "end", count(*)::BIGINT AS n, round(sum(value), 2) AS total FROM s GROUP BY user_id, no)
+SELECT g.* FROM g, w WHERE "end" <= w.last""")
+def q_stream_sessions(spark, sf_dir):
+    """Sessions of users, six hours apart, that the watermark has passed; events that come days late aren't in them.
+
+    An event is late against the watermark that the batch before began with, so one from the last two deliveries is in time.
+    """
+    out = session_stream(spark, sf_dir).rows
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+def session_stream(spark, sf_dir):
+    path = timed.delivered(read(spark, sf_dir, "events"), "ts", 5, LATE)
+    return timed.ran(timed.sessions(timed.followed(path, EVENT, "ts", WAIT, spark), "user_id", "ts", "6 hours", "value"), "append", "sessions")
+
+
+@query("""WITH t AS (SELECT user_id, epoch_us(ts) // 1000 AS ms, count(*)::INT AS n FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2), n AS (SELECT *, lead(ms) OVER (PARTITION BY user_id ORDER BY ms) AS follows FROM t)
+SELECT user_id, ms AS at, n FROM n WHERE (follows IS NULL OR follows - ms > 12 * 3600000) AND ms + 12 * 3600000 <= (SELECT epoch_us(max(ts)) // 1000 - 3600000 FROM events)""")
+def q_stream_silence(spark, sf_dir):
+    """Users of whom nothing came for twelve hours, told by timers."""
+    return silence_stream(spark, sf_dir).rows
+
+
+def silence_stream(spark, sf_dir):
+    path = timed.delivered(read(spark, sf_dir, "events"), "ts", 5)
+    return timed.ran(timed.silences(timed.followed(path, EVENT, "ts", WAIT, timed.apart(spark)), "user_id", "ts", 12), "append", "silence")
+
+
 @query("""SELECT n_name, l_returnflag, count(*)::BIGINT AS lines, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, l_returnflag""")
 def q_region_report(spark, sf_dir):

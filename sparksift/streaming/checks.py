@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.storage import fresh_path
 from ..schemas import EVENT
+from .timed import apart
 
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,11 +78,6 @@ class StatusChanges(StatefulProcessor):
 
 
 def status_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name, held = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        events = stream(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
-        moved = events.groupBy("user_id").transformWithStateInPandas(statefulProcessor=StatusChanges(), outputStructType="user_id bigint, event_id bigint, from_status string, to_status string", outputMode="Append", timeMode="None")
-        return drained(moved, "append", "changes")
-    finally:
-        spark.conf.set(name, held)
+    events = stream(apart(spark), sf_dir).select("user_id", "event_id", "ts", "event_type")
+    moved = events.groupBy("user_id").transformWithStateInPandas(statefulProcessor=StatusChanges(), outputStructType="user_id bigint, event_id bigint, from_status string, to_status string", outputMode="Append", timeMode="None")
+    return drained(moved, "append", "changes")
