@@ -137,19 +137,19 @@ def _kids(leaves: Column) -> Column:
 #: One digest at a place among joined ones: what stands before it, and behind it.
 BEFORE, BEHIND = f"substring({{0}}, 1, {DIGEST} * {{1}})", f"substring({{0}}, {DIGEST} * {{1}} + {DIGEST + 1})"
 
-CLIMB = f"""WITH RECURSIVE climb(tree, run, folded, above, up_tree, up_level, up_pos, place) AS (
-  SELECT tree, pos, folded, CAST('' AS BINARY), up_tree, up_level, up_pos, place FROM {{runs}}
+CLIMB = f"""WITH RECURSIVE climb(tree, run, subroot, folded, above, up_tree, up_level, up_pos, place) AS (
+  SELECT tree, pos, subroot, folded, CAST('' AS BINARY), up_tree, up_level, up_pos, place FROM {{runs}}
   UNION ALL
-  SELECT c.tree, c.run,
+  SELECT c.tree, c.run, CASE WHEN n.tree = c.tree AND n.size = 1 THEN n.hash ELSE c.subroot END,
     transform(c.folded, h -> unhex(sha2(lower(hex(concat({BEFORE.format("n.kids", "c.place")}, h, {BEHIND.format("n.kids", "c.place")}))), 256))),
     concat(c.above, {BEFORE.format("n.kids", "c.place")}, {BEHIND.format("n.kids", "c.place")}),
     n.up_tree, n.up_level, n.up_pos, n.place
   FROM climb c JOIN {{nodes}} n ON n.tree = c.up_tree AND n.level = c.up_level AND n.pos = c.up_pos)
-SELECT tree, run, folded, above FROM climb WHERE up_level IS NULL"""
+SELECT tree, run, subroot, folded, above FROM climb WHERE up_level IS NULL"""
 
 
 def climbed(manifest: Manifest) -> DataFrame:
-    """tree, run, folded (the digests that the leaves of a run lead to at the root), above (siblings from the second level to the root).
+    """tree, run, subroot, folded (the digests that the leaves of a run lead to at the root), above (siblings from the second level to the root).
 
     A recursive query ends by itself where no parent is left, after as many steps as there are levels (22 for 2**64
     leaves). Spark bounds the rows of a recursion by a setting, which a session of its own lifts; the caller's stays.
@@ -161,10 +161,11 @@ def climbed(manifest: Manifest) -> DataFrame:
     tampered = F.transform("leaves", lambda x: F.coalesce(x["altered"], x["leaf"]))
     swapped = F.expr(f"transform(tampered, (h, i) -> unhex(sha2(lower(hex(concat({BEFORE.format('kids', 'i')}, h, {BEHIND.format('kids', 'i')}))), 256)))")
     start = runs.withColumn("tampered", tampered).withColumn("folded", F.when(F.col("size") > 1, swapped).otherwise(F.col("tampered")))
-    first = start.filter("size > 1").withColumn("size", F.ceil(F.col("size") / WIDTH))
-    start = _linked(first, 1, manifest.trees).unionByName(_linked(start.filter("size = 1"), 0, manifest.trees))
+    first = start.filter("size > 1").withColumn("size", F.ceil(F.col("size") / WIDTH)).withColumn("subroot", F.when(F.col("size") == 1, of_digests(F.col("kids"))))
+    alone = start.filter("size = 1").withColumn("subroot", F.col("leaves")[0]["leaf"])
+    start = _linked(first, 1, manifest.trees).unionByName(_linked(alone, 0, manifest.trees))
     nodes = own.read.schema(NODE).parquet(manifest.root)
-    path = stored(own.sql(CLIMB, runs=start.drop("leaves", "kids", "tampered"), nodes=nodes.drop("hash", "size")), "climbed")
+    path = stored(own.sql(CLIMB, runs=start.drop("leaves", "kids", "tampered"), nodes=nodes), "climbed")
     return manifest.spark.read.parquet(path)
 
 
@@ -172,8 +173,7 @@ def proofs(manifest: Manifest, carry: list[str]) -> DataFrame:
     """Per leaf: carry, leaf, subroot, root, folded_root, siblings (digests from the leaf's level up, left to right, joined)."""
     up = climbed(manifest).withColumnsRenamed({"tree": "up_tree", "run": "up_run"})
     own = manifest.runs.withColumn("kids", F.when(F.col("size") > 1, _kids(F.col("leaves"))).otherwise(F.lit(b"")))
-    roots = manifest.subroots().withColumnRenamed("tree", "of")
-    rows = own.join(up, (F.col("tree") == F.col("up_tree")) & (F.col("pos") == F.col("up_run"))).join(roots, F.col("tree") == F.col("of"))
+    rows = own.join(up, (F.col("tree") == F.col("up_tree")) & (F.col("pos") == F.col("up_run")))
     each = rows.select("kids", "folded", "above", "subroot", F.posexplode("leaves").alias("i", "l"))
     siblings = F.expr(f"concat({BEFORE.format('kids', 'i')}, {BEHIND.format('kids', 'i')}, above)")
     return each.select(*[F.col(f"l.{c}").alias(c) for c in carry], F.col("l.leaf").alias("leaf"), "subroot", manifest.root_hash().alias("root"), F.get("folded", F.col("i")).alias("folded_root"), siblings.alias("siblings"))
