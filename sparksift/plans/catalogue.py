@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import text as fx
 from ..functions.storage import fresh_path, put_files, written
-from ..operators import cascade, export, lexicon, ml, report, state
+from ..operators import cascade, domains, export, lexicon, ml, report, state
 from ..operators.ranges import asof_join
 from ..operators.replies import ReplyStore
+from ..operators.store import BucketStore
 from ..schemas import EVENT
-from ..sources import bundles, seeds, sheets
+from ..sources import bundles, seeds, sheets, sinks
 from ..streaming import checks, timed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +115,22 @@ def q_guard_case(spark, sf_dir):
     return page_texts(spark, sf_dir).select("page_id", guarded.alias("guarded"), F.when(guarded, "guarded").when(strong, "strong").otherwise("plain").alias("bucket"))
 
 
+SUFFIX_ROWS = ", ".join(f"('{x.lstrip('*!').lstrip('.')}', {1 if x[0] == '*' else -1 if x[0] == '!' else 0})" for x in domains.SUFFIXES)
+
+
+@query(f"""WITH p AS (SELECT DISTINCT {sql_host('url')} AS h FROM pages), hosts AS (SELECT DISTINCT unnest([h, regexp_replace(h, '[.][^.]*$', '.co.uk'), regexp_replace(h, '[.][^.]*$', '.ck'), h || '.kawasaki.jp', 'city.kawasaki.jp', 'a.city.kawasaki.jp', 'www.ck']) AS host FROM p WHERE h IS NOT NULL),
+r AS (SELECT * FROM (VALUES {SUFFIX_ROWS}) AS v(suffix, adds)), l AS (SELECT host, string_split(host, '.') AS l, len(string_split(host, '.')) AS k FROM hosts),
+f AS (SELECT host, n + adds AS n, adds = -1 AS first FROM l, generate_series(1, k) AS u(n), r WHERE array_to_string(l[k - n + 1:], '.') = suffix AND n + adds <= k),
+b AS (SELECT l.*, coalesce((SELECT arg_max(n, (CASE WHEN first THEN 1000 ELSE 0 END) + n) FROM f WHERE f.host = l.host), 1) AS n FROM l)
+SELECT host, array_to_string(l[k - n + 1:], '.') AS suffix, CASE WHEN k > n THEN array_to_string(l[k - n:], '.') END AS domain FROM b""")
+def q_registrable_domain(spark, sf_dir):
+    """The hosts of pages, and the same under suffixes of two labels, under a star and under an exception."""
+    h = F.col("h")
+    made = [h, F.regexp_replace(h, "[.][^.]*$", ".co.uk"), F.regexp_replace(h, "[.][^.]*$", ".ck"), F.concat(h, F.lit(".kawasaki.jp")), *map(F.lit, ("city.kawasaki.jp", "a.city.kawasaki.jp", "www.ck"))]
+    hosts = read(spark, sf_dir, "pages").select(fx.host_of(F.col("url")).alias("h")).filter("h IS NOT NULL").select(F.explode(F.array(*made)).alias("host"))
+    return domains.registrable(hosts, "host", domains.rules(spark))
+
+
 @query(f"""WITH c AS (SELECT {sql_host('url')} AS host, page_id AS seen_at, CASE WHEN page_id % 2 = 0 THEN 'bing' ELSE 'yahoo' END AS engine FROM pages)
 SELECT host, min(seen_at) AS first_seen, string_agg(DISTINCT engine, ',' ORDER BY engine) AS engines, count(*)::BIGINT AS n FROM c WHERE host IS NOT NULL GROUP BY host""")
 def q_host_dedup(spark, sf_dir):
@@ -178,6 +195,17 @@ def q_store_upsert(spark, sf_dir):
     return written(state.upserted(log, updates, "user_id", "ts", "event_id"), "store")
 
 
+@query("""SELECT user_id, ts, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+FROM (SELECT user_id, ts, event_id, event_type FROM events UNION ALL SELECT user_id, ts + INTERVAL 1 DAY, -event_id - 1, 'blocked' FROM events WHERE user_id % 16 = 3)) WHERE rn = 1""")
+def q_bucket_store(spark, sf_dir):
+    """The check log put into buckets, then an update of some users, which rewrites their buckets only."""
+    log = check_log(spark, sf_dir)
+    store = BucketStore(spark, fresh_path(spark, "buckets"), log.schema, "user_id", "ts", "event_id", buckets=32)
+    store.upsert(log)
+    store.upsert(log.filter("user_id % 16 = 3").select("user_id", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), (-F.col("event_id") - 1).alias("event_id"), F.lit("blocked").alias("event_type")))
+    return store.read()
+
+
 @query(f"SELECT page_id, host, bytes, sum(bytes) OVER (PARTITION BY host ORDER BY page_id ROWS UNBOUNDED PRECEDING)::BIGINT AS running FROM (SELECT page_id, {sql_host('url')} AS host, strlen(html)::BIGINT AS bytes FROM pages)")
 def q_running_size(spark, sf_dir):
     return export.running_bytes(page_items(spark, sf_dir), "host", "page_id", "bytes")
@@ -240,6 +268,18 @@ def q_export_bundles(spark, sf_dir):
     return bundles.rendered(manifest).mapInPandas(back, "bundle string, part_no long, pdf_ok boolean, xlsx_rows long, xlsx_links string, pdf_links string")
 
 
+@query(f"""{SPLIT} SELECT bundle, part_no, coalesce(bundle, 'none') || '-' || part_no || '.txt' AS name, strlen(string_agg(url, chr(10) ORDER BY item))::BIGINT AS bytes, sha256(string_agg(url, chr(10) ORDER BY item)) AS sha256
+FROM w JOIN pages ON page_id = item GROUP BY bundle, part_no""")
+def q_sink_manifest(spark, sf_dir):
+    """Each part's links as a file, written by tasks and committed as a whole; the manifest of what is there."""
+    urls = read(spark, sf_dir, "pages").select(F.col("page_id").alias("item"), "url")
+    listed = F.array_sort(F.collect_list(F.struct("item", "url")))  # max_links at most
+    parts = dual_split(spark, sf_dir).join(urls, "item").groupBy("bundle", "part_no").agg(F.array_join(listed["url"], "\n").cast("binary").alias("content"))
+    path = fresh_path(spark, "lists")
+    sinks.put(parts.withColumn("name", F.concat(F.coalesce("bundle", F.lit("none")), F.lit("-"), F.col("part_no"), F.lit(".txt"))), path)
+    return sinks.manifest(spark, path, "bundle string, part_no bigint").drop("file")
+
+
 @query("SELECT page_id, coalesce(string_agg(source, ',' ORDER BY source), '') AS evidence FROM pages LEFT JOIN documents ON page_id = n_chars GROUP BY page_id")
 def q_evidence_attach(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select(F.col("n_chars").alias("page_id"), "source")
