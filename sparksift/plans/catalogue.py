@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import text as fx
 from ..functions.storage import fresh_path, put_files, written
-from ..operators import cascade, domains, export, lexicon, ml, report, state
+from ..operators import calibration, cascade, domains, export, lexicon, ml, report, state
 from ..operators.ranges import asof_join
 from ..operators.replies import ReplyStore
 from ..operators.store import BucketStore
@@ -358,6 +358,40 @@ def q_fast_path_gate(spark, sf_dir):
     return joined.select("doc_id", p.alias("p"), cascade.gate(F.col("p"), Config()).alias("verdict"))
 
 
+#: A document's length stands for the fast path's probability of good quality.
+GATED = "g AS (SELECT round(least(n_chars / 5000.0::DOUBLE, 1.0::DOUBLE), 3) AS p, count(*)::BIGINT AS n, count_if(quality = 1)::BIGINT AS pos FROM documents JOIN labels USING (doc_id) GROUP BY 1)"
+
+
+def gate_scores(spark, sf_dir):
+    confirmed = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.round(F.least(F.col("n_chars") / F.lit(5000.0), F.lit(1.0)), 3).alias("p")).join(confirmed, "doc_id")
+
+
+@query(f"""WITH {GATED} SELECT p, n, pos, sum(n) OVER (ORDER BY p DESC)::BIGINT AS flagged, sum(pos) OVER (ORDER BY p DESC)::BIGINT AS tp, round(sum(pos) OVER (ORDER BY p DESC) / sum(n) OVER (ORDER BY p DESC), 9) AS precision,
+round(sum(pos) OVER (ORDER BY p DESC) / nullif(sum(pos) OVER (), 0), 9) AS recall FROM g""")
+def q_threshold_sweep(spark, sf_dir):
+    out = calibration.sweep(calibration.counted(gate_scores(spark, sf_dir), "p", "label"))
+    return out.withColumns({c: F.round(c, 9) for c in ("precision", "recall")})
+
+
+@query(f"""WITH {GATED}, b AS (SELECT *, sum(n - pos) OVER (ORDER BY p) - (n - pos) AS below, sum(n) OVER (ORDER BY p DESC) AS fn, sum(pos) OVER (ORDER BY p DESC) AS fp, sum(n) OVER (ORDER BY p) AS ln, sum(pos) OVER (ORDER BY p) AS lp FROM g)
+SELECT sum(n)::BIGINT AS "rows", sum(pos)::BIGINT AS positives, round(sum(pos * (2 * below + n - pos)) / (2.0 * sum(pos) * sum(n - pos)), 9)::DOUBLE AS auc, min(p) FILTER (fp >= 0.9 * fn) AS high, max(p) FILTER (lp <= 0.6 * ln) AS low FROM b""")
+def q_gate_metrics(spark, sf_dir):
+    """AUC of the gate's score, and the thresholds that keep nine of ten flagged rows right and six of ten cleared ones at most wrong."""
+    return calibration.metrics(calibration.counted(gate_scores(spark, sf_dir), "p", "label"), 0.9, 0.6).withColumn("auc", F.round("auc", 9))
+
+
+@query(f"""WITH {GATED}, i AS (SELECT *, row_number() OVER (ORDER BY p) AS k, sum(n) OVER (ORDER BY p) AS sn, sum(pos) OVER (ORDER BY p) AS sp FROM g),
+m AS (SELECT a.k AS a, b.k AS b, (b.sp - a.sp + a.pos) / (b.sn - a.sn + a.n) AS mean FROM i a JOIN i b ON b.k >= a.k),
+l AS (SELECT a, b AS k, min(mean) OVER (PARTITION BY a ORDER BY b DESC) AS low FROM m), f AS (SELECT k, max(low) AS fit FROM l GROUP BY k)
+SELECT doc_id, round(least(n_chars / 5000.0::DOUBLE, 1.0::DOUBLE), 3) AS p, quality AS label, round(fit, 9) AS calibrated FROM documents JOIN labels USING (doc_id) JOIN i ON i.p = round(least(n_chars / 5000.0::DOUBLE, 1.0::DOUBLE), 3) JOIN f USING (k)""")
+def q_gate_calibrated(spark, sf_dir):
+    """The monotone fit of labels to the gate's score."""
+    scored = gate_scores(spark, sf_dir)
+    out = calibration.calibrated(scored, "p", calibration.isotonic(calibration.counted(scored, "p", "label")))
+    return out.withColumn("calibrated", F.round("calibrated", 9))
+
+
 @query()
 def q_ml_predict(spark, sf_dir):
     """Fit on confirmed hosts that aren't held out, save, load, score all."""
