@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import text as fx
 from ..functions.storage import fresh_path, put_files, written
-from ..operators import calibration, cascade, domains, export, lexicon, ml, report, state
+from ..operators import calibration, cascade, domains, export, lexicon, ml, report, sketches, state
 from ..operators.ranges import asof_join
 from ..operators.replies import ReplyStore
 from ..operators.store import BucketStore
 from ..schemas import EVENT
 from ..sources import bundles, seeds, sheets, sinks
 from ..streaming import checks, timed
+from ..streaming.dashboard import Dashboard
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -541,6 +542,39 @@ def q_stream_status(spark, sf_dir):
     return checks.status_changes(spark, sf_dir)
 
 
+@query("SELECT CAST(ts AS DATE) AS day, event_type AS status, count(*)::BIGINT AS n, round(sum(value), 2) AS total FROM events GROUP BY ROLLUP (CAST(ts AS DATE), event_type)")
+def q_stream_dashboard(spark, sf_dir):
+    """The dashboard's totals from sums that a stream has kept; put into a base half way, and with a batch that comes twice."""
+    board = Dashboard(spark, fresh_path(spark, "dashboard"))
+    path = timed.delivered(read(spark, sf_dir, "events"), "ts", 10)
+    events = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(path)
+
+    def save(batch, number):
+        board.add(batch, number)
+        board.add(batch, number)
+        if number == 1:
+            board.compact()
+
+    rows = events.select(F.to_date("ts").alias("day"), F.col("event_type").alias("status"), "value")
+    rows.writeStream.option("checkpointLocation", fresh_path(spark, "dashboard-state")).foreachBatch(save).trigger(availableNow=True).start().awaitTermination()
+    return board.rollup()
+
+
+@query("""WITH d AS (SELECT DISTINCT ts::DATE AS last FROM events), r AS (SELECT last, days FROM d, (VALUES (1), (7), (30)) AS v(days)),
+e AS (SELECT last, days, user_id, event_type FROM r JOIN events ON ts::DATE BETWEEN last - (days - 1)::INT AND last),
+t AS (SELECT last, days, event_type, count(*) AS c FROM e GROUP BY ALL)
+SELECT last, days, count(*)::BIGINT AS n, count(DISTINCT user_id)::BIGINT AS users, (SELECT event_type FROM t WHERE t.last = e.last AND t.days = e.days ORDER BY c DESC, event_type LIMIT 1) AS top FROM e GROUP BY last, days""")
+def q_day_sketches(spark, sf_dir):
+    """Users, checks and the most frequent type of the last 1, 7 and 30 days at each day, from stored sketches of days.
+
+    A few hundred users are told apart without error by this sketch, and a handful of types counted so.
+    """
+    days = written(sketches.daily(read(spark, sf_dir, "events").select("ts", "user_id", "value", "event_type"), "ts", "user_id", "value", "event_type"), "sketches")
+    ranges = days.select(F.col("day").alias("last"), F.explode(F.array(*map(F.lit, (1, 7, 30)))).alias("days")).withColumn("first", F.expr("date_sub(last, days - 1)"))
+    best = F.array_sort(F.transform("top", lambda x: F.struct((-x["count"]).alias("c"), x["item"].alias("t"))))[0]["t"]
+    return sketches.ranged(days, ranges).select("last", "days", "n", F.col("keys").alias("users"), best.alias("top"))
+
+
 FOLLOWED = """SELECT v.user_id, v.event_id AS view_id, p.event_id AS purchase_id FROM events v JOIN events p ON v.user_id = p.user_id AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 6 HOURS
 WHERE v.event_type = 'view' AND p.event_type = 'purchase'"""
 
