@@ -22,3 +22,8 @@ class Config:
     excerpt_chars: int = 2_000
     json_retries: int = 2
 
+    @classmethod
+    def local(cls, **changed) -> Config:
+        """Settings for models on one machine: fewer calls and checks at once, and fast mode."""
+        # Concurrency of calls and of checks, fast mode.
+        return cls(**({"ai_concurrency": 3, "check_concurrency": 10, "fast_mode": True} | changed))

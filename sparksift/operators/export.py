@@ -19,6 +19,12 @@ def with_evidence(confirmed: DataFrame, evidence: DataFrame, key: str, ref: str)
     return confirmed.join(grouped, key, "left").withColumn("evidence", F.coalesce("evidence", F.array().cast("array<string>")))
 
 
+def evidence_parts(evidence: DataFrame, key: str, ref: str, config: Config) -> DataFrame:
+    """key, part_no, refs: the references of a key in order, at most max_links to a row, so a key of any number is a number of rows."""
+    numbered = split_links(evidence.select(key, ref), key, [ref], config)
+    return numbered.groupBy(key, "part_no").agg(F.array_sort(F.collect_list(ref)).alias("refs"))
+
+
 def split_links(items: DataFrame, bundle: str, order: list[str], config: Config) -> DataFrame:
     """part_no by the cap on links alone. Rows are sorted by ranges and numbered by the sums of earlier ranges, so no task sorts a whole bundle."""
     numbered = with_sums(in_ranges(items, [bundle], order), [bundle], {"_n": F.lit(1)})

@@ -1,31 +1,38 @@
-"""The fast-path model: a logistic regression on character n-grams."""
+"""The fast-path model: a logistic regression on character n-grams of hosts, or on words of texts, fitted to confirmed labels."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IDF, NGram, RegexTokenizer
+from pyspark.ml.feature import HashingTF, IDF, NGram, RegexTokenizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def confirmed_labels(records: DataFrame, key: str, at: str) -> DataFrame:
-    """The newest label of each key."""
-    return records.groupBy(key).agg(F.max_by("label", at).alias("label"))
+    """The newest label of each key; of equal times the highest. A null time is older than all others, null keys go."""
+    return records.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(at, "label"))["label"].alias("label"))
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label", features: int = 1 << 14) -> PipelineModel:
-    """Raises if there is but one class."""
+def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label", features: int | None = None, words: bool = False) -> PipelineModel:
+    """On the distinct words of texts, or else on three characters each. Null texts count as empty in words. Raises if there is but one class."""
+    features = features or (1 << 18 if words else 1 << 14)
     classes = {r[0] for r in labelled.select(F.col(label_col).cast("double")).distinct().limit(3).collect()}
     if len(classes) < 2:
         raise ValueError(f"training needs two classes, there is {sorted(classes)}")
+    if words:
+        units = [
+            SQLTransformer(statement=f"SELECT *, coalesce(`{text_col}`, '') AS _text FROM __THIS__"),
+            RegexTokenizer(inputCol="_text", outputCol="_grams", pattern=r"[^\p{L}\p{N}]+", gaps=True, toLowercase=True),
+        ]
+    else:
+        units = [RegexTokenizer(inputCol=text_col, outputCol="_chars", pattern="", gaps=True, toLowercase=True), NGram(n=3, inputCol="_chars", outputCol="_grams")]
     stages = [
-        RegexTokenizer(inputCol=text_col, outputCol="_chars", pattern="", gaps=True, toLowercase=True),
-        NGram(n=3, inputCol="_chars", outputCol="_grams"),
-        HashingTF(inputCol="_grams", outputCol="_tf", numFeatures=features),
+        *units,
+        HashingTF(inputCol="_grams", outputCol="_tf", numFeatures=features, binary=words),
         IDF(inputCol="_tf", outputCol="_features"),
-        LogisticRegression(featuresCol="_features", labelCol=label_col, regParam=0.01, maxIter=20),
+        LogisticRegression(featuresCol="_features", labelCol=label_col, regParam=0.1 if words else 0.01, maxIter=20),
     ]
     return Pipeline(stages=stages).fit(labelled)
 

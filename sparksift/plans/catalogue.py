@@ -393,14 +393,38 @@ def q_gate_calibrated(spark, sf_dir):
     return out.withColumn("calibrated", F.round("calibrated", 9))
 
 
+def label_records(spark, sf_dir):
+    """Records of labels with the time of each: some documents were first confirmed otherwise."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return labels.withColumn("at", F.lit(2)).unionByName(labels.filter("doc_id % 7 = 0").select("doc_id", (1 - F.col("label")).alias("label")).withColumn("at", F.lit(1)))
+
+
+@query("SELECT doc_id, toxic AS label FROM labels")
+def q_confirmed_labels(spark, sf_dir):
+    return ml.confirmed_labels(label_records(spark, sf_dir), "doc_id", "at")
+
+
 @query()
 def q_ml_predict(spark, sf_dir):
-    """Fit on confirmed hosts that aren't held out, save, load, score all."""
-    pages = read(spark, sf_dir, "pages").select(fx.host_of(F.col("url")).alias("text")).filter("text IS NOT NULL").distinct()
-    confirmed = pages.withColumn("label", F.col("text").rlike("casino|bets|pills|spam|ads").cast("int")).withColumn("held_out", F.crc32("text") % 5 == 0)
+    """Fit on the newest labels of documents whose source isn't held out, save, load, score all labelled ones."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source").join(ml.confirmed_labels(label_records(spark, sf_dir), "doc_id", "at"), "doc_id")
+    docs = docs.withColumn("held_out", F.crc32(F.col("source").cast("binary")) % 5 == 0)
     path = fresh_path(spark, "model")
-    ml.save(ml.train(confirmed.filter(~F.col("held_out")).select("text", "label")), path)
-    return ml.predict(ml.load(path), confirmed).select(F.col("text").alias("host"), "label", "held_out", F.round("p", 4).alias("p"))
+    ml.save(ml.train(docs.filter("NOT held_out").select("text", "label"), words=True), path)
+    return ml.predict(ml.load(path), docs).select("doc_id", "label", "held_out", F.round("p", 4).alias("p"))
+
+
+@query("""SELECT user_id, event_id, event_type, place FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC)::INT AS place FROM events) WHERE place <= 3""")
+def q_newest_checks(spark, sf_dir):
+    return state.newest(check_log(spark, sf_dir), "user_id", "ts", "event_id", 3).select("user_id", "event_id", "event_type", "place")
+
+
+@query(f"""WITH e AS (SELECT {sql_host('url')} AS host, page_id::VARCHAR || '.png' AS ref FROM pages), n AS (SELECT *, (row_number() OVER (PARTITION BY host ORDER BY ref) - 1) // 10 AS part_no FROM e)
+SELECT host, part_no::BIGINT AS part_no, string_agg(ref, ',' ORDER BY ref) AS refs FROM n GROUP BY host, part_no""")
+def q_evidence_parts(spark, sf_dir):
+    """The screenshots of each host's pages, ten to a row."""
+    shots_ = read(spark, sf_dir, "pages").select(fx.host_of(F.col("url")).alias("host"), F.concat("page_id", F.lit(".png")).alias("ref"))
+    return export.evidence_parts(shots_, "host", "ref", SMALL).withColumn("refs", F.array_join("refs", ","))
 
 
 def host_excerpts(spark, sf_dir):

@@ -14,10 +14,6 @@ def struct(**fields: T.DataType) -> T.StructType:
 SEED = struct(domain=S, note=S, _corrupt_record=S)
 KEYWORD = struct(term=S, lang=S, weight=D)
 SEARCH_HIT = struct(engine=S, keyword=S, rank=I, url=S, seen_at=TS)
-CHECK = struct(check_id=L, host=S, checked_at=TS, status=S, source=S)
-REPLY = struct(host=S, role=S, model=S, raw=S, tokens=L)
 VERDICT = struct(verdict=S, confidence=D)
-EVIDENCE = struct(host=S, url=S, path=S, bytes=L, sha256=S)
-CONFIRMED = struct(host=S, label=I, confirmed_at=TS)
 EVENT = T.StructType([T.StructField("event_id", L), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", L), T.StructField("event_type", S), T.StructField("value", D), T.StructField("props", S)])
 VERDICTS = ("flag", "clear", "unsure")

@@ -108,31 +108,47 @@ def sessions(events: DataFrame, by: str, at: str, gap: str, value: str) -> DataF
 class Silences(StatefulProcessor):
     """A row for each event of a key that no other follows within `hours`, given when the watermark has passed that time.
 
-    State is a key's event times of the last `hours`, and a timer for each. Rows are taken one at a time, in any order:
-    an event only enters its time, and its timer looks whether a later one stands in the hours after it.
+    State is a key's event times of the last `hours` and their numbers, the first and last time in each hour, and a timer
+    for each time. Rows are taken one at a time, in any order: an event only enters its time, and its timer looks whether a
+    later one stands in the hours after it, by one look at each hour.
     """
 
+    HOUR = 3_600_000
+
     def __init__(self, hours: int):
-        self.span = hours * 3_600_000
+        self.hours, self.span = hours, hours * self.HOUR
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.times = handle.getMapState("times", "at bigint", "n int")
+        self.ends = handle.getMapState("ends", "hour bigint", "first bigint, last bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
-            for at in frame["at"]:
-                at = (int(at),)
-                if not self.times.containsKey(at):
-                    self.handle.registerTimer(at[0] + self.span)
-                self.times.updateValue(at, ((self.times.getValue(at)[0] if self.times.containsKey(at) else 0) + 1,))
+            for at in frame["at"].astype("int64").tolist():
+                if self.times.containsKey((at,)):
+                    self.times.updateValue((at,), (self.times.getValue((at,))[0] + 1,))
+                    continue
+                self.times.updateValue((at,), (1,))
+                self.handle.registerTimer(at + self.span)
+                hour = (at // self.HOUR,)
+                first, last = self.ends.getValue(hour) if self.ends.containsKey(hour) else (at, at)
+                self.ends.updateValue(hour, (min(first, at), max(last, at)))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at = expiredTimerInfo.getExpiryTimeInMs() - self.span
-        followed = any(at < t <= at + self.span for (t,) in self.times.keys())
-        n = self.times.getValue((at,))[0]
+        (n,) = self.times.getValue((at,))
         self.times.removeKey((at,))
+        own = at // self.HOUR
+        last = self.ends.getValue((own,))[1]
+        followed = last > at
+        if not followed:  # timers come in the order of time, so no later one asks for this hour
+            self.ends.removeKey((own,))
+            for hour in range(own + 1, own + self.hours + 1):
+                if self.ends.containsKey((hour,)):
+                    followed = self.ends.getValue((hour,))[0] <= at + self.span
+                    break
         if not followed:
             yield pd.DataFrame({"key": [key[0]], "at": [at], "n": [n]})
 
