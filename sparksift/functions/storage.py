@@ -13,12 +13,18 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only where the session names none, as on one machine, a folder of our own, which the context keeps."""
+    """This application's folder in the cluster's shared one. Only where the session names none, as on one machine, a folder of our own, which the context keeps."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparksift-"))
         where = spark.sparkContext.getCheckpointDir()
-    return f"{where.rstrip('/')}/sparksift"
+    return f"{where.rstrip('/')}/sparksift/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all that this application has staged, once the caller has kept its results elsewhere; frames made before can't be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -152,3 +152,13 @@ def test_registrable_domains(spark):
     hosts = ["example.com", "www.a.example.co.uk", "co.uk", "uk", "x.ck", "y.x.ck", "www.ck", "a.www.ck", "city.kawasaki.jp", "b.city.kawasaki.jp", "z.other.kawasaki.jp", "kawasaki.jp", "bücher.de", "www.bücher.co.uk", "10.0.0.1", "unknown.zone", "zone", "a..b", "ü" * 80 + ".de", "", None, "example.com"]
     got = {r["host"]: (r["suffix"], r["domain"]) for r in domains.registrable(spark.createDataFrame([(h,) for h in hosts], "x string"), "x", domains.rules(spark)).collect()}
     assert got == {h: plain(h, domains.SUFFIXES) for h in hosts if h is not None}
+
+
+def test_staged_tables_can_be_cleared(spark, tmp_path, monkeypatch):
+    from sparksift.functions import storage
+
+    monkeypatch.setattr(storage, "shared_dir", lambda spark: f"file://{tmp_path}/own")
+    held = storage.written(spark.range(5).toDF("id"), "held")
+    assert held.count() == 5 and os.listdir(tmp_path / "own")
+    storage.clear(spark)
+    assert not os.path.exists(tmp_path / "own") and storage.written(spark.range(0), "again").count() == 0
