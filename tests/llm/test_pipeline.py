@@ -228,7 +228,9 @@ def test_queries_on_odd_tables(spark, tmp_path, edge_rows):
     spark.createDataFrame([(i, t, "en", None, None, "x") for i, t in edge_rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, score string").write.parquet(f"file://{tmp_path}/documents.parquet")
     spark.createDataFrame([(4, 1, 1), (5, 0, 0), (5, None, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, None), (None, "x"), (2, "one two three")], "item_id bigint, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, None, None, "x"), (1, "http://A.com/x?y", "<p>", "y"), (None, "no url", "", "z")], "page_id bigint, url string, html string, host string").write.parquet(f"file://{tmp_path}/pages.parquet")
+    spark.createDataFrame([(1, 1, "user", "Hi.", "x"), (1, None, None, None, "y"), (None, 2, "tool", "So", "z"), (None, 2, "tool", "So", "z")], "conv_id bigint, turn bigint, role string, text string, pos string").write.parquet(f"file://{tmp_path}/conversations.parquet")
     for name, f in QUERIES.items():
-        if not name.startswith("op3"):
-            assert f(spark, f"file://{tmp_path}").count() == len(edge_rows), name
+        number, n = int(name[2:].split("_")[0]), f(spark, f"file://{tmp_path}").count()
+        assert n >= len(edge_rows) if number == 13 else n == {3: 3, 11: 2}.get(number, len(edge_rows)), name
     assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() <= len(edge_rows)
