@@ -97,7 +97,8 @@ def vision_check(shots: DataFrame, config: Config, client: Vision = stub_vision)
 def classify(pages: DataFrame, config: Config, client: Client = stub_client, store=None) -> DataFrame:
     """host, excerpt and, if there is one, p to host, verdict, decided_by, tokens: validator after primary, tiebreaker only on disagreement.
 
-    With a store of replies (replies.ReplyStore) only what it lacks is asked; a host then has one excerpt.
+    With a store of replies (replies.ReplyStore) only what it lacks is asked; a host then has one excerpt, and hosts that
+    the store's quota leaves unasked aren't in the result.
 
     With p, the fast path's probability, the gate is asked first, and only hosts that it leaves open go to a model. In
     fast mode a confident primary needs no validator.

@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .calibration import calibrated
+
 
 def confirmed_labels(records: DataFrame, key: str, at: str) -> DataFrame:
     """The newest label of each key; of equal times the highest. A null time is older than all others, null keys go."""
@@ -48,3 +50,10 @@ def save(model: PipelineModel, path: str) -> None:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def fast_path(model: PipelineModel, blocks: DataFrame, pages: DataFrame, text_col: str = "host") -> DataFrame:
+    """pages with p for the cascade's gate: the model's score, as the monotone fit (calibration.isotonic) of confirmed labels says it."""
+    rows = predict(model, pages.withColumn("text", F.col(text_col)) if text_col != "text" else pages)
+    scored = calibrated(rows, "p", blocks).drop("p").withColumnRenamed("calibrated", "p")
+    return scored.select(*pages.columns, "p")

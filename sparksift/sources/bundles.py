@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sheets import workbook
+from .sinks import manifest as read_manifest
+from .sinks import put
 
 LINES_PER_PAGE = 50
 LINE_CHARS = 120
@@ -99,3 +101,11 @@ def rendered(manifest: DataFrame) -> DataFrame:
 
     dealt = manifest.select("bundle", "part_no", "host", "url", "evidence").repartition("bundle", "part_no").sortWithinPartitions("bundle", "part_no", "url")
     return dealt.mapInPandas(run, "bundle string, part_no long, pdf binary, xlsx binary")
+
+
+def put_bundles(manifest: DataFrame, path: str) -> DataFrame:
+    """The PDF and the workbook of each part as files under path, all or none; gives their manifest: bundle, part_no, name, bytes, sha256, file."""
+    named = lambda kind: F.concat(F.regexp_replace(F.coalesce("bundle", F.lit("none")), r"[^A-Za-z0-9.-]", "_"), F.lit("-"), F.col("part_no"), F.lit(f".{kind}")).alias("name")
+    both = F.explode(F.array(*[F.struct(named(kind), F.col(kind).alias("content")) for kind in ("pdf", "xlsx")]))
+    put(rendered(manifest).select("bundle", "part_no", both.alias("f")).select("bundle", "part_no", "f.name", "f.content"), path)
+    return read_manifest(manifest.sparkSession, path, "bundle string, part_no bigint")

@@ -76,3 +76,12 @@ def test_the_cascade_over_a_store(spark, tmp_path, calls):
         assert sorted(map(tuple, cascade.classify(pages(spark, 8), config, counting(calls), store).collect())) == want
     assert calls.value == 2 * 16 and store.read().count() == 16
     assert cascade.classify(pages(spark, 8).limit(0), config, counting(calls), store).count() == 0
+
+
+def test_quota_stops_calls_until_the_next_month(spark, tmp_path, calls):
+    store, config = ReplyStore(spark, f"{tmp_path}/r", buckets=8, slice_rows=5), Config(ai_concurrency=1, monthly_tokens=40)
+    rows = pages(spark, 40)
+    first = store.replies(rows, "primary", counting(calls), config, month="2024-01").count()
+    assert 0 < first < 40 and first == calls.value and store.spent("2024-01") >= 40
+    assert store.replies(rows, "primary", counting(calls), config, month="2024-01").count() == first == calls.value
+    assert store.replies(rows, "primary", counting(calls), Config(ai_concurrency=1), month="2024-02").count() == 40 == calls.value

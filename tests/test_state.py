@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sparksift.operators import domains
 from sparksift.operators.store import BucketStore
-from sparksift.sources import bundles, sinks
+from sparksift.sources import bundles, sheets, sinks
 
 SCHEMA = "k bigint, at int, tie int, v string"
 
@@ -120,11 +120,10 @@ def test_an_attempt_that_failed_leaves_no_half_and_no_double(tmp_path):
 
 
 def test_report_files_through_the_sink(spark, tmp_path):
-    frame = spark.createDataFrame([("b", 0, "a.com", "http://a.com/1"), ("b", 0, "a.com", "http://a.com/2"), ("b", 1, "a.com", "http://a.com/3")], "bundle string, part_no long, host string, url string")
-    made = bundles.rendered(frame).select("bundle", "part_no", F.format_string("%s-%d.pdf", "bundle", "part_no").alias("name"), F.col("pdf").alias("content"))
-    sinks.put(made, str(tmp_path))
-    got = sinks.manifest(spark, str(tmp_path), "bundle string, part_no bigint").collect()
-    assert sorted(r["name"] for r in got) == ["b-0.pdf", "b-1.pdf"] and all(open(r["file"].removeprefix("file://"), "rb").read(5) == b"%PDF-" for r in got)
+    frame = spark.createDataFrame([("b/c", 0, "a.com", "http://a.com/1"), ("b/c", 0, "a.com", "http://a.com/2"), ("b/c", 1, "a.com", "http://a.com/3")], "bundle string, part_no long, host string, url string")
+    got = {r["name"]: open(r["file"].removeprefix("file://"), "rb").read() for r in bundles.put_bundles(frame, str(tmp_path)).collect()}
+    assert sorted(got) == ["b_c-0.pdf", "b_c-0.xlsx", "b_c-1.pdf", "b_c-1.xlsx"]
+    assert got["b_c-0.pdf"].startswith(b"%PDF-") and list(sheets.read_links(got["b_c-0.xlsx"])) == ["http://a.com/1", "http://a.com/2"]
 
 
 def plain(host, suffixes):

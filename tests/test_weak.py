@@ -7,7 +7,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sparksift.config import Config
-from sparksift.operators import calibration, export, ml, state
+from sparksift.operators import calibration, cascade, export, ml, state
 from sparksift.plans import catalogue
 from sparksift.streaming import checks, timed
 
@@ -74,3 +74,24 @@ def test_newest_rows(spark):
 def test_settings_for_one_machine():
     own = Config.local(high=0.9)
     assert (own.ai_concurrency, own.check_concurrency, own.fast_mode, own.high, own.max_links) == (3, 10, True, 0.9, 1000)
+
+
+def test_the_model_decides_before_others_are_asked(spark):
+    """A model of hosts, its scores fitted to labels, at the cascade's gate."""
+    hosts = [(f"{'casino' if k % 2 else 'garden'}-{k}.com", k % 2) for k in range(80)] + [(f"odd{k}.net", k % 3 % 2) for k in range(12)]
+    frame = spark.createDataFrame(hosts, "host string, label int")
+    model = ml.train(frame.withColumnRenamed("host", "text"))
+    blocks = calibration.isotonic(calibration.counted(ml.predict(model, frame.withColumn("text", F.col("host"))), "p", "label"))
+    asked = spark.sparkContext.accumulator(0)
+
+    def client(host, excerpt, role):
+        asked.add(1)
+        return '{"verdict": "clear", "confidence": 0.9}'
+
+    pages = frame.select("host").withColumn("excerpt", F.lit("x"))
+    gated = ml.fast_path(model, blocks, pages)
+    assert gated.columns == ["host", "excerpt", "p"]
+    out = {r["host"]: (r["verdict"], r["decided_by"]) for r in cascade.classify(gated, Config(ai_concurrency=1), client).collect()}
+    by_gate = {h: v for h, (v, by) in out.items() if by == "gate"}
+    assert len(out) == 92 and len(by_gate) >= 80 and asked.value == 2 * (92 - len(by_gate))
+    assert all(by_gate[h] == ("flag" if y else "clear") for h, y in hosts[:80])
