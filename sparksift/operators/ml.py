@@ -18,7 +18,10 @@ def confirmed_labels(records: DataFrame, key: str, at: str) -> DataFrame:
 
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label", features: int | None = None, words: bool = False) -> PipelineModel:
-    """On the distinct words of texts, or else on three characters each. Null texts count as empty in words. Raises if there is but one class."""
+    """On the distinct words of texts, or else on three characters each. Null texts count as empty in words. Raises if there is but one class.
+
+    Score with a model that was saved and loaded: one just fitted holds the summary of its training, which goes into every task.
+    """
     features = features or (1 << 18 if words else 1 << 14)
     classes = {r[0] for r in labelled.select(F.col(label_col).cast("double")).distinct().limit(3).collect()}
     if len(classes) < 2:

@@ -76,11 +76,12 @@ def test_settings_for_one_machine():
     assert (own.ai_concurrency, own.check_concurrency, own.fast_mode, own.high, own.max_links) == (3, 10, True, 0.9, 1000)
 
 
-def test_the_model_decides_before_others_are_asked(spark):
+def test_the_model_decides_before_others_are_asked(spark, tmp_path):
     """A model of hosts, its scores fitted to labels, at the cascade's gate."""
     hosts = [(f"{'casino' if k % 2 else 'garden'}-{k}.com", k % 2) for k in range(80)] + [(f"odd{k}.net", k % 3 % 2) for k in range(12)]
     frame = spark.createDataFrame(hosts, "host string, label int")
-    model = ml.train(frame.withColumnRenamed("host", "text"))
+    ml.save(ml.train(frame.withColumnRenamed("host", "text")), str(tmp_path / "model"))
+    model = ml.load(str(tmp_path / "model"))
     blocks = calibration.isotonic(calibration.counted(ml.predict(model, frame.withColumn("text", F.col("host"))), "p", "label"))
     asked = spark.sparkContext.accumulator(0)
 
