@@ -5,7 +5,9 @@ two steps: its first piece in the restaurant of the last piece before it (the en
 word in the restaurant of that first piece. Restaurants of words have a speller as base, which draws piece after piece
 in the restaurant of the piece before, up to a word's end, and learns each distinct word once. All restaurants of
 pieces share the restaurant of single pieces as parent, and that one has the uniform base. Words that were not learned
-are one dish for each first piece, which takes all that the speller leaves to unseen words; `open_score` spells them.
+are one dish for each first piece. `score` counts outcomes as the base score does: of the base of a restaurant with V
+learned words, the unlearned dish has one part of V + 1 and the learned ones share the rest by the speller, so unknown
+words cost what a word of that restaurant costs that no table serves. `open_score` goes on to spell them.
 
 Tables are seated by blocked Gibbs sweeps: given the parent's probabilities and the restaurants' table counts of the
 sweep before, the customers of every dish are removed and seated anew by the posterior odds of the Chinese restaurant.
@@ -411,7 +413,10 @@ def lm_scores(docs: DataFrame, tokenizer_path: str, model: PitmanYor = PitmanYor
 
     got = sums(spelt, first_words)
     c_f, t_f, known = (got.get(x, empty) for x in ("all", "t", "known"))
-    unseen = np.clip(1 - known, 1e-12, 1)
+    # The base of learned words is the speller's probability times scale, that of the unlearned dish is fresh; spare is what the speller leaves to unlearned words.
+    scale, fresh = np.divide(t_f, (t_f + 1) * known, out=np.zeros(IDS), where=known > 0), 1 / (t_f + 1)
+    spare = np.clip(1 - known, 1e-12, 1)
+    based = sc.broadcast((scale, fresh, spare))  # three numbers a piece of the vocabulary
     word_sweeps = []
     for number in range(model.sweeps):
         word_sweeps.append((1000 + number, t_f))
@@ -422,28 +427,28 @@ def lm_scores(docs: DataFrame, tokenizer_path: str, model: PitmanYor = PitmanYor
         def seat_words(bucket, *parts, shared=shared):
             c, p, f = word_part(*parts)
             k, before = shared.value
-            return {"t": (f, tables(c, before[f], p, word_d, strength, _rng(model, k, bucket)))}
+            return {"t": (f, tables(c, before[f], p * based.value[0][f], word_d, strength, _rng(model, k, bucket)))}
 
         t_f = sums(spelt, seat_words).get("t", empty)
-    kept_words = sc.broadcast((word_sweeps[model.burn_in :] or word_sweeps[-1:], c_f, unseen))
+    kept_words = sc.broadcast((word_sweeps[model.burn_in :] or word_sweeps[-1:], c_f))
 
     def word_answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Of the words that each chunk asked a bucket for: counts, log10 of the averaged probability after the first piece, and that with unknown words spelt."""
+        """Of the words that each chunk asked a bucket for: counts, log10 of the averaged probability after the first piece, and that with unlearned words spelt."""
         if not len(left):
             return pd.DataFrame({"chunk": [], "bucket": [], "keys": [], "counts": [], "logs": [], "open": []})
-        use, all_f, rest = kept_words.value
+        use, all_f = kept_words.value
+        scale_, fresh_, spare_ = based.value
         bucket = int(left["bucket"].iloc[0])
         asked_ = [np.frombuffer(x, np.uint64) for x in left["words"]]
         own = np.unique(np.concatenate(asked_))
-        c, base, f = word_part(*right[["counts", "logs", "firsts"]].iloc[0])
-        p, new = np.zeros(len(c)), np.zeros(len(c))
+        c, spelt_p, f = word_part(*right[["counts", "logs", "firsts"]].iloc[0])
+        learned = c > 0
+        base, p = np.where(learned, spelt_p * scale_[f], fresh_[f]), np.zeros(len(c))
         for k, before in use:
             t = tables(c, before[f], base, word_d, strength, _rng(model, k, bucket))
-            to_new = (strength + word_d * before[f]) / (strength + all_f[f])
-            new += to_new
-            p += np.maximum(c - word_d * t, 0) / (strength + all_f[f]) + to_new * base
-        wide = np.log10(p / len(use))
-        logs = np.where(c > 0, wide, np.log10(new / len(use) * rest[f]))
+            p += (np.maximum(c - word_d * t, 0) + (strength + word_d * before[f]) * base) / (strength + all_f[f])
+        logs = np.log10(p / len(use))
+        wide = logs + np.where(learned, 0, np.minimum(np.log10(spelt_p / spare_[f]), 0))
         at = [np.searchsorted(own, x) for x in asked_]
         return pd.DataFrame([{"chunk": int(k), "bucket": bucket, "keys": None, "counts": c[x].astype(np.uint32).tobytes(), "logs": logs[x].tobytes(), "open": wide[x].astype(np.float32).tobytes()} for k, x in zip(left["chunk"], at)])
 

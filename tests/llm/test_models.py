@@ -199,6 +199,121 @@ def test_probabilities_sum_to_one():
     assert q.sum() == pytest.approx(1) and (q > 0).all()
 
 
+class Restaurant:
+    """A plain restaurant: tables of each dish, one customer moved at a time; new tables are customers of the parent, if there is one."""
+
+    def __init__(self, d, base, parent=None):
+        self.d, self.base, self.parent, self.tables, self.n, self.t = d, base, parent, collections.defaultdict(list), 0, 0
+
+    def below(self, dish):
+        return self.parent.p(dish) if self.parent else self.base(dish)
+
+    def p(self, dish):
+        sizes = self.tables.get(dish, ())
+        return (sum(sizes) - self.d * len(sizes) + (1 + self.d * self.t) * self.below(dish)) / (1 + self.n)
+
+    def seat(self, dish, rnd):
+        sizes = self.tables[dish]
+        k = rnd.choices(range(len(sizes) + 1), [x - self.d for x in sizes] + [(1 + self.d * self.t) * self.below(dish)])[0]
+        self.n += 1
+        if k < len(sizes):
+            sizes[k] += 1
+            return
+        sizes.append(1)
+        self.t += 1
+        if self.parent:
+            self.parent.seat(dish, rnd)
+
+    def leave(self, dish, rnd):
+        sizes = self.tables[dish]
+        k = rnd.choices(range(len(sizes)), sizes)[0]
+        sizes[k] -= 1
+        self.n -= 1
+        if not sizes[k]:
+            del sizes[k]
+            self.t -= 1
+            if self.parent:
+                self.parent.leave(dish, rnd)
+
+
+def averaged(restaurants, customers, asked, rnd, sweeps=60, burn_in=20, each_sweep=lambda: None):
+    """Mean predictive probabilities of (restaurant, dish) pairs over sweeps that move each customer once."""
+    for u, w in customers:
+        restaurants[u].seat(w, rnd)
+    total = dict.fromkeys(asked, 0.0)
+    for number in range(sweeps):
+        each_sweep()
+        for u, w in customers:
+            restaurants[u].leave(w, rnd)
+            restaurants[u].seat(w, rnd)
+        if number >= burn_in:
+            for u, w in asked:
+                total[u, w] += restaurants[u].p(w) / (sweeps - burn_in)
+    return total
+
+
+def test_scores_are_those_of_a_plain_sampler(spark, documents):
+    """The whole model of a small corpus, one customer moved at a time, without hashes, chunks or buckets."""
+    rnd = random.Random(11)
+    vocabulary = [a + b + c for a in ("ban", "tor", "quix", "", "re") for b in ("dle", "mu", "stic", "o") for c in ("s", "", "ling")]
+    weights = [1 / (k + 1) for k in range(len(vocabulary))]
+    rnd.shuffle(vocabulary)
+    rows = [(i, " ".join(rnd.choices(vocabulary, weights, k=25) + ([f"zzyx{i}", f"bandle{i}"] if i % 9 < 2 else []))) for i in range(90)]
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
+    own = lm.codec(BYTES)
+    pieces = len(own.pieces)
+    end = pieces - 1
+    words = sorted({w for _, t in rows for w in t.split()})
+    subs = {w: [int(x) for x in np.frombuffer(own.encode_batch([b" " + w.encode()])[0], "<u4")] for w in words}
+    between = lambda t: list(zip([end] + [subs[w][-1] for w in t.split()], [subs[w][0] for w in t.split()] + [end]))
+    inside = lambda w: [(("in", a), b) for a, b in zip(subs[w], [*subs[w][1:], "close"])]
+    count = collections.Counter(w for i, t in rows if not held[i] for w in t.split())
+    customers = [x for i, t in rows if not held[i] for x in between(t)] + [x for w in count for x in inside(w)]
+    asked = {x for _, t in rows for x in between(t)} | {x for w in words for x in inside(w)}
+    once = collections.Counter(collections.Counter(customers).values())
+    root = Restaurant(0.5, lambda dish: 1 / (pieces + 1))
+    restaurants = collections.defaultdict(lambda: Restaurant(lm.discount(once[1], once[2]), None, root))
+
+    def discount_of_root():
+        sizes = collections.Counter(sum(x) for x in root.tables.values())
+        root.d = lm.discount(sizes[1], sizes[2])
+
+    p = averaged(restaurants, customers, asked, rnd, each_sweep=discount_of_root)
+    spelt = {w: math.prod(p[x] for x in inside(w)) for w in words}
+    once, of = collections.Counter(count.values()), collections.defaultdict(list)
+    for w in count:
+        of[subs[w][0]].append(w)
+    share = {w: len(of[f]) / (len(of[f]) + 1) * spelt[w] / sum(spelt[x] for x in of[f]) for f in of for w in of[f]}
+    first = {subs[w][0]: Restaurant(lm.discount(once[1], once[2]), lambda w: share[w]) for w in words}
+    of_words = averaged(first, [(subs[w][0], w) for w in count.elements()], [(subs[w][0], w) for w in count], rnd)
+    unlearned = {w: (1 + first[subs[w][0]].d * first[subs[w][0]].t) / (len(of[subs[w][0]]) + 1) / (1 + first[subs[w][0]].n) for w in words if w not in count}
+    in_first = lambda w: of_words[subs[w][0], w] if w in count else unlearned[w]
+    want = {i: sum(math.log10(p[x]) for x in between(t)) + sum(math.log10(in_first(w)) for w in t.split()) for i, t in rows}
+    got = {r["doc_id"]: r for r in lm.lm_scores(documents(rows), BYTES, lm.PitmanYor(sweeps=12, burn_in=4, chunk_bytes=3000, bucket_bytes=4000)).collect()}
+    assert any(r["n_known"] < r["n_tokens"] for r in got.values())
+    assert max(abs(got[i]["score"] - want[i]) / abs(want[i]) for i in want) < 0.03
+    assert sum(r["score"] for r in got.values()) == pytest.approx(sum(want.values()), rel=0.01)
+
+
+def test_noise_costs_more_than_prose(spark):
+    """Texts of invented words, and of learned words in random order, against held-out documents, a token each."""
+    docs = table(spark, SF_DIR, "documents").select("doc_id", "text")
+    rnd = random.Random(12)
+    ids = [i for i in range(10**8, 10**8 + 99) if zlib.crc32(str(i).encode()) % 7 == 2][:6]
+    learned = sorted({w for r in docs.collect() for w in (r["text"] or "").lower().split()})
+    invented = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(3, 9))) for _ in range(600)]
+    rows = [(i, " ".join(rnd.choices(invented if k < 3 else learned, k=200))) for k, i in enumerate(ids)]
+    got = lm.lm_scores(docs.unionByName(spark.createDataFrame(rows, docs.schema)), BYTES).filter("held_out").collect()
+
+    def cost(which, column):
+        some = [r for r in got if which(r["doc_id"])]
+        return -sum(r[column] for r in some) / sum(r["n_tokens"] for r in some)
+
+    for column in ("score", "open_score"):
+        prose = cost(lambda i: i < 10**8, column)
+        assert cost(lambda i: i in ids[:3], column) > 1.3 * prose and cost(lambda i: i in ids[3:], column) > 1.1 * prose
+
+
 # ---- sharding
 def test_differencing_by_hand():
     sums, slots = sharding.differencing([[w, 0] for w in (8, 7, 6, 5, 4)])
