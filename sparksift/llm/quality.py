@@ -1,7 +1,8 @@
 """Operator 6: quality rules, line first. SQL functions only.
 
 Each line with a word is held against three kinds of rule: punctuation (runs of symbols or exclamation marks,
-fragments without an end mark), navigation (menus with separators) and boilerplate (legal and site notices).
+fragments without an end mark), navigation (menus with separators, rows of links) and boilerplate (legal and site
+notices in English, German, French and Spanish, whatever the document's language).
 Lines that fail are taken out, and a document that loses more than a share of its word characters is rejected.
 Beside that stands the base verdict over the whole text: too few words, or too many of them in repeated windows.
 """
@@ -21,17 +22,42 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 SEPARATOR = r"[|»›·•]"
 ENDING = r"""[.!?:;,)"'…»”’\]][\x20\x09-\x0D]*$"""
-BOILERPLATE = (
-    r"(?i)all rights reserved|cookie (policy|settings|notice)|privacy policy|terms of (use|service)|"
-    r"(enable|requires) javascript|click here|sign up|log ?in to|subscribe (now|to)|skip to (main )?content|"
-    r"share (this )?on (facebook|twitter)|follow us|powered by|back to top"
-)
+LINK = r"https?://|www[.]"
+#: By language the notices of sites. Letters beyond ASCII stand in both cases, since (?i) folds ASCII only.
+PHRASES = {
+    "en": (
+        r"all rights reserved|cookie (policy|settings|notice)|privacy policy|terms of (use|service)|"
+        r"(enable|requires) javascript|click here|sign up|log ?in to|subscribe (now|to)|skip to (main )?content|"
+        r"share (this )?on (facebook|twitter)|follow us|powered by|back to top"
+    ),
+    "de": (
+        r"alle rechte vorbehalten|cookie-(richtlinie|einstellungen|hinweis)|datenschutz(erkl[äÄ]rung|hinweise|bestimmungen)|"
+        r"allgemeine gesch[äÄ]ftsbedingungen|nutzungsbedingungen|javascript aktivieren|hier klicken|klicken sie hier|jetzt (anmelden|registrieren|abonnieren)|"
+        r"newsletter abonnieren|zum (haupt)?inhalt springen|auf (facebook|twitter) teilen|folgen sie uns|zur[üÜ]ck nach oben"
+    ),
+    "fr": (
+        r"tous droits r[éÉ]serv[éÉ]s|(politique|gestion|param[èÈ]tres) (de|des) cookies|politique de confidentialit[éÉ]|"
+        r"conditions (g[éÉ]n[éÉ]rales )?d['’]utilisation|mentions l[éÉ]gales|activer javascript|cliquez ici|(abonnez|inscrivez)-vous|"
+        r"aller au contenu|partager sur (facebook|twitter)|suivez-nous|retour en haut"
+    ),
+    "es": (
+        r"todos los derechos reservados|pol[íÍ]tica de (cookies|privacidad)|(configuraci[óÓ]n|aviso) de cookies|"
+        r"t[éÉ]rminos (y condiciones|de (uso|servicio))|aviso legal|(active|activar|habilite|habilitar) javascript|(haga|haz) clic aqu[íÍ]|"
+        r"suscr[íÍ]bete (ahora|a)|saltar al contenido|compartir en (facebook|twitter)|s[íÍ]guenos en|volver arriba"
+    ),
+}
+BOILERPLATE = "(?i)" + "|".join(PHRASES.values())
 #: A lower-cased line without any of these holds no BOILERPLATE; plain searches are far cheaper than its pattern.
 NEEDED = (
     " rights reserved", "cookie ", "privacy policy", "terms of ", " javascript", "click here", "sign up", "in to", "subscribe ", "skip to ",
     "share ", "follow us", "powered by", "back to top",
+    "rechte vorbehalten", "cookie-", "datenschutz", "sbedingungen", "javascript aktiv", "hier klicken", "klicken sie hier", "jetzt a", "jetzt registrieren",
+    "newsletter abonnieren", "inhalt springen", " teilen", "folgen sie uns", "ck nach oben",
+    "tous droits r", " cookies", " de confidentialit", "utilisation", "mentions l", "cliquez ici", "ez-vous", "aller au contenu", "partager sur ",
+    "suivez-nous", "retour en haut",
+    "derechos reservados", "tica de privacidad", "rminos ", "aviso legal", " clic aqu", "bete a", "saltar al contenido", "compartir en ", "guenos en", "volver arriba",
 )
-MARKS = r"[#*$%&|<>»›·•]|!!"
+MARKS = r"[#*$%&|<>»›·•]|!!|://|www[.]"
 WINDOW = 5
 
 
@@ -44,6 +70,7 @@ class Rules:
     symbols_per_word: float = 0.5
     bangs_per_word: float = 0.25
     separators_per_word: float = 0.25
+    links_per_word: float = 0.5
     least_marks: int = 3
     stub_words: int = 3
     max_lost: float = 0.5
@@ -59,10 +86,12 @@ def line_fails(line: Column, n: Column, rules: Rules) -> Column:
     symbols = F.regexp_count(line, F.lit(SYMBOL))
     bangs = F.regexp_count(line, F.lit("!!"))
     separators = F.regexp_count(line, F.lit(SEPARATOR))
+    links = F.regexp_count(line, F.lit(LINK))
     marks = (
         ((symbols >= rules.least_marks) & (symbols > rules.symbols_per_word * n))
         | ((bangs >= rules.least_marks) & (bangs > rules.bangs_per_word * n))
         | ((separators >= rules.least_marks) & (separators > rules.separators_per_word * n))
+        | ((links >= rules.least_marks) & (links > rules.links_per_word * n))
     )
     return (line.rlike(MARKS) & marks) | ((n <= rules.stub_words) & ~line.rlike(ENDING)) | ((n <= 30) & any_of(line, NEEDED) & line.rlike(BOILERPLATE))
 
@@ -151,9 +180,10 @@ win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 4), ' ') AS g FRO
 dup AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM dup, (VALUES (0), (1), (2), (3), (4)) AS o(k) WHERE c > 1 GROUP BY doc_id),
 li AS (SELECT doc_id, x, len(regexp_extract_all(x, '{WORD}')) AS n, len(regexp_extract_all(x, '{SYMBOL}')) AS s,
-         len(regexp_extract_all(x, '!!')) AS b, len(regexp_extract_all(x, '{SEPARATOR}')) AS p FROM w, unnest(l) AS u(x)),
+         len(regexp_extract_all(x, '!!')) AS b, len(regexp_extract_all(x, '{SEPARATOR}')) AS p,
+         len(regexp_extract_all(x, '{LINK}')) AS k FROM w, unnest(l) AS u(x)),
 good AS (SELECT doc_id, sum(length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g'))) AS c FROM li
-         WHERE NOT ((s >= 3 AND s > 0.5 * n) OR (b >= 3 AND b > 0.25 * n) OR (p >= 3 AND p > 0.25 * n)
+         WHERE NOT ((s >= 3 AND s > 0.5 * n) OR (b >= 3 AND b > 0.25 * n) OR (p >= 3 AND p > 0.25 * n) OR (k >= 3 AND k > 0.5 * n)
                  OR (n <= 3 AND NOT regexp_matches(x, '{_END}')) OR (n <= 30 AND regexp_matches(x, '{_TERMS}'))) GROUP BY doc_id),
 m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
         len(regexp_extract_all(t, '{SYMBOL}'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,

@@ -174,7 +174,7 @@ def plainly_clean(text):
         n = len(word.findall(line))
         many = lambda pattern, share: len(re.findall(pattern, line)) >= 3 and len(re.findall(pattern, line)) > share * n  # noqa: B023, E731
         stub = n <= 3 and not re.search(quality.ENDING, line)
-        fails = many(r"[#*$%&|<>]", 0.5) or many("!!", 0.25) or many("[|»›·•]", 0.25) or stub or (n <= 30 and re.search(quality.BOILERPLATE, line))
+        fails = many(r"[#*$%&|<>]", 0.5) or many("!!", 0.25) or many("[|»›·•]", 0.25) or many(r"https?://|www[.]", 0.5) or stub or (n <= 30 and re.search(quality.BOILERPLATE, line))
         if not n or not fails:
             kept.append(line)
     clean = "\n".join(kept)

@@ -43,9 +43,18 @@ def test_quality_edges(spark, documents, edge_rows):
 def test_quality_gates_lose_no_line(spark):
     """The cheap searches before the patterns let every line through that a pattern finds."""
     notices = ["All rights reserved", "COOKIE settings", "cookie policy", "cookie notice", "Privacy Policy", "terms of use", "TERMS of Service", "enable JavaScript", "requires javascript", "click here", "Sign Up", "log in to", "LOGIN to",
-               "subscribe now", "Subscribe to", "skip to content", "skip to main content", "share on Facebook", "share this on twitter", "follow us", "Powered By", "back to TOP"]
+               "subscribe now", "Subscribe to", "skip to content", "skip to main content", "share on Facebook", "share this on twitter", "follow us", "Powered By", "back to TOP",
+               "Alle Rechte vorbehalten", "Cookie-Richtlinie", "cookie-einstellungen", "COOKIE-HINWEIS", "Datenschutzerklärung", "DATENSCHUTZERKLÄRUNG", "Datenschutzhinweise", "datenschutzbestimmungen",
+               "Allgemeine Geschäftsbedingungen", "ALLGEMEINE GESCHÄFTSBEDINGUNGEN", "Nutzungsbedingungen", "Bitte JavaScript aktivieren", "hier klicken", "Klicken Sie hier", "Jetzt anmelden", "jetzt registrieren", "jetzt abonnieren",
+               "Newsletter abonnieren", "zum Inhalt springen", "Zum Hauptinhalt springen", "auf Facebook teilen", "auf Twitter teilen", "Folgen Sie uns", "zurück nach oben", "ZURÜCK nach oben",
+               "Tous droits réservés", "TOUS DROITS RÉSERVÉS", "politique de cookies", "gestion des cookies", "Paramètres des cookies", "Politique de confidentialité", "conditions d'utilisation", "conditions générales d’utilisation",
+               "Mentions légales", "MENTIONS LÉGALES", "activer JavaScript", "cliquez ici", "Abonnez-vous", "inscrivez-vous", "aller au contenu", "Partager sur Facebook", "partager sur Twitter", "suivez-nous", "retour en haut",
+               "Todos los derechos reservados", "política de cookies", "POLÍTICA DE PRIVACIDAD", "Configuración de cookies", "aviso de cookies", "Términos y condiciones", "TÉRMINOS de uso", "términos de servicio", "Aviso legal", "active JavaScript",
+               "activar javascript", "habilite JavaScript", "habilitar javascript", "haga clic aquí", "Haz clic AQUÍ", "Suscríbete ahora", "suscríbete a", "saltar al contenido", "compartir en Facebook", "compartir en Twitter", "síguenos en", "Volver arriba"]
     marks = [f"words {m * 3} here." for m in "#*$%&|<>»›·•"] + ["wow !!!!!! there."]
-    plain = ["Nothing of that kind is in this line.", "The cookie jar was back to its place.", "Straße, ÇA va et plus encore, İstanbul."]
+    marks += ["http://a.example https://b.example www.c.example.", "see https://a.example www.b.example http://c.example/d now."]
+    plain = ["See http://a.example and https://b.example, then www.c.example, for more.", "Die Rechte der Leser und die Bedingungen bleiben.", "Les conditions du contrat, et son contenu.", "Los derechos de los lectores, y sus términos.",
+             "Nothing of that kind is in this line.", "The cookie jar was back to its place.", "Straße, ÇA va et plus encore, İstanbul."]
     df = spark.createDataFrame([(f"{x}, and so on." if x in notices else x,) for x in notices + marks + plain], "t string")
     n = F.regexp_count("t", F.lit(quality.WORD))
     got = {r["t"]: r["f"] for r in df.select("t", quality.line_fails(F.col("t"), n, quality.Rules()).alias("f")).collect()}
