@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -29,7 +28,7 @@ def delivered(rows: DataFrame, at: str, days: int, late: str | None = None) -> s
     slot = F.floor(F.date_diff(F.to_date(at), F.lit(first.date())) / days)
     slot = F.when(F.expr(late), slots).otherwise(slot) if late else slot
     for k in range(slots + 1):  # a stream takes the older files first
-        rows.filter(slot == k).coalesce(1).write.mode("append").parquet(path)
+        rows.filter(slot == k).repartition(1).write.mode("append").parquet(path)
     return path
 
 
@@ -108,49 +107,69 @@ def sessions(events: DataFrame, by: str, at: str, gap: str, value: str) -> DataF
 class Silences(StatefulProcessor):
     """A row for each event of a key that no other follows within `hours`, given when the watermark has passed that time.
 
-    State is a key's event times of the last `hours` and their numbers, the first and last time in each hour, and a timer
-    for each time. Rows are taken one at a time, in any order: an event only enters its time, and its timer looks whether a
-    later one stands in the hours after it, by one look at each hour.
+    Rows may come in any order. Of a span of `hours` only the last time can be silent and only the first can end a silence
+    from before, so state is a few numbers for each span, one value a key, and what is settled and behind the watermark goes.
+    A key has one timer, for its earliest silence that is still open; where rows come, they settle what it would. So the
+    state store is called a few times for a key and batch, however many rows come, and no row is held.
     """
 
     HOUR = 3_600_000
 
     def __init__(self, hours: int):
-        self.hours, self.span = hours, hours * self.HOUR
+        self.span = hours * self.HOUR
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.times = handle.getMapState("times", "at bigint", "n int")
-        self.ends = handle.getMapState("ends", "hour bigint", "first bigint, last bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            for at in frame["at"].astype("int64").tolist():
-                if self.times.containsKey((at,)):
-                    self.times.updateValue((at,), (self.times.getValue((at,))[0] + 1,))
-                    continue
-                self.times.updateValue((at,), (1,))
-                self.handle.registerTimer(at + self.span)
-                hour = (at // self.HOUR,)
-                first, last = self.ends.getValue(hour) if self.ends.containsKey(hour) else (at, at)
-                self.ends.updateValue(hour, (min(first, at), max(last, at)))
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at = expiredTimerInfo.getExpiryTimeInMs() - self.span
-        (n,) = self.times.getValue((at,))
-        self.times.removeKey((at,))
-        own = at // self.HOUR
-        last = self.ends.getValue((own,))[1]
-        followed = last > at
-        if not followed:  # timers come in the order of time, so no later one asks for this hour
-            self.ends.removeKey((own,))
-            for hour in range(own + 1, own + self.hours + 1):
-                if self.ends.containsKey((hour,)):
-                    followed = self.ends.getValue((hour,))[0] <= at + self.span
-                    break
-        if not followed:
-            yield pd.DataFrame({"key": [key[0]], "at": [at], "n": [n]})
+        self.open = handle.getValueState("open", "spans array<bigint>, due bigint")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held, due = self.held()
+        for row in rows:
+            at = row["at"]
+            span = held.setdefault(at // self.span, [at, at, 0])
+            if at > span[1]:
+                span[1:] = [at, 1]
+            elif at == span[1]:
+                span[2] += 1
+            elif at < span[0]:
+                span[0] = at
+        yield from self.settled(key, held, due, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self.settled(key, self.held()[0], None, timerValues)
+
+    def settled(self, key, held: dict[int, list[int]], due: int | None, timerValues) -> Iterator[Row]:
+        """The silences that the watermark has passed; the rest is kept."""
+        mark, spans, kept = timerValues.getCurrentWatermarkInMs(), sorted(held.values()), []
+        silent = set(self.silent(spans))
+        for n, (first, last, count) in enumerate(spans):
+            if n in silent and last + self.span <= mark:
+                yield Row(key=key[0], at=last, n=count)
+            elif n in silent or last > mark:  # an event that is in time may still come before it
+                kept.append([first, last, count])
+        self.keep(kept, due)
+
+    def held(self) -> tuple[dict[int, list[int]], int | None]:
+        """first, last and how many at last by span of time, and the key's timer."""
+        found = self.open.get()
+        if found is None:
+            return {}, None
+        flat = found[0]
+        return {flat[k] // self.span: list(flat[k : k + 3]) for k in range(0, len(flat), 3)}, found[1]
+
+    def silent(self, spans: list[list[int]]) -> Iterator[int]:
+        return (n for n, x in enumerate(spans) if n + 1 == len(spans) or spans[n + 1][0] - x[1] > self.span)
+
+    def keep(self, spans: list[list[int]], due: int | None) -> None:
+        next_due = spans[next(self.silent(spans))][1] + self.span if spans else None
+        if due not in (None, next_due):
+            self.handle.deleteTimer(due)
+        if not spans:
+            self.open.clear()
+            return
+        if next_due != due:
+            self.handle.registerTimer(next_due)
+        self.open.update(([x for span in spans for x in span], next_due))
 
     def close(self) -> None:
         pass
@@ -159,5 +178,5 @@ class Silences(StatefulProcessor):
 def silences(events: DataFrame, by: str, at: str, hours: int) -> DataFrame:
     """by, at (the last event, to the millisecond, as long), n (events at that time): keys from which nothing came for `hours`."""
     rows = events.filter(F.col(by).isNotNull() & F.col(at).isNotNull()).select(F.col(by).cast("long").alias("key"), F.unix_millis(at).alias("at"), F.col(at).alias("_event"))
-    found = rows.groupBy("key").transformWithStateInPandas(statefulProcessor=Silences(hours), outputStructType="key bigint, at bigint, n int", outputMode="Append", timeMode="EventTime")
+    found = rows.groupBy("key").transformWithState(statefulProcessor=Silences(hours), outputStructType="key bigint, at bigint, n int", outputMode="Append", timeMode="EventTime")
     return found.withColumnRenamed("key", by)

@@ -1,5 +1,7 @@
 """State that is dropped, rows that come too late, timers: what the progress of a stream says."""
 
+import random
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 from sparksift.plans import catalogue
@@ -50,3 +52,25 @@ def test_nothing_comes(spark):
     path = timed.delivered(events(spark, []), "ts", 5)
     run = timed.ran(timed.sessions(timed.followed(path, events(spark, []).schema, "ts", "1 hour", spark), "user_id", "ts", "6 hours", "value"), "append", "none")
     assert run.rows.count() == 0
+
+
+def silences_of(spark, rows, days=1):
+    path = timed.delivered(events(spark, rows), "ts", days)
+    return timed.ran(timed.silences(timed.followed(path, events(spark, []).schema, "ts", "1 hour", timed.apart(spark)), "user_id", "ts", 12), "append", "silence")
+
+
+def test_state_of_silences_does_not_grow_with_rows(spark):
+    rows = [(k % 700, 1, "x") for k in range(2100)] + [(4000, 2, "x")]
+    run = silences_of(spark, rows)
+    assert max(run.held) <= 4  # a value a key, and the timers
+    assert [(r["user_id"], r["n"]) for r in run.rows.collect()] == [(1, 3)]
+
+
+def test_silences_of_any_rows(spark):
+    draw = random.Random(5)
+    rows = [(draw.randrange(9000), u, "x") for u in range(12) for _ in range(draw.randrange(1, 30))]
+    rows += [(0, 20, "x"), (720, 20, "x"), (1441, 20, "x"), (9600 - 60 - 720, 21, "x"), (9600 - 59 - 720, 22, "x"), (9600, 23, "x")]
+    start = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp() // 60)
+    got = sorted((r["user_id"], r["at"] // 60_000 - start, r["n"]) for r in silences_of(spark, rows).rows.collect())
+    times = Counter((u, m) for m, u, _ in rows)
+    assert got == sorted((u, m, n) for (u, m), n in times.items() if m + 720 <= 9540 and not any(v == u and m < o <= m + 720 for v, o in times))
