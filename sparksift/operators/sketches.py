@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,27 @@ def ranged(days: DataFrame, ranges: DataFrame, sizes: Sizes = Sizes()) -> DataFr
     quantile = lambda q: F.kll_sketch_get_quantile_double("v", F.lit(q))
     n = F.kll_sketch_get_n_double("v")
     return merged.select(*ranges.columns, n.alias("n"), F.hll_sketch_estimate("k").alias("keys"), F.when(n > 0, quantile(0.5)).alias("median"), F.when(n > 0, quantile(0.9)).alias("p90"), F.expr("approx_top_k_estimate(t, 10)").alias("top"))
+
+
+def exact_daily(log: DataFrame, at: str, key: str, status: str) -> tuple[DataFrame, DataFrame]:
+    """Two tables of whole numbers from which any range of days is counted without error, as long as days and statuses are, whatever the keys.
+
+    day, status, count; and day, next_day, keys: of the keys of a day, how many come again on next_day first (null: on none).
+    So a key counts once in a range: on its last day there. Rows without time go; null keys count as rows only, as in SQL.
+    """
+    rows = log.filter(F.col(at).isNotNull()).select(F.to_date(at).alias("day"), F.col(key).alias("_key"), F.col(status).alias("status"))
+    statuses = rows.groupBy("day", "status").agg(F.count("*").alias("count"))
+    seen = rows.filter(F.col("_key").isNotNull()).select("_key", "day").distinct()
+    again = seen.withColumn("next_day", F.lead("day").over(Window.partitionBy("_key").orderBy("day")))
+    return statuses, again.groupBy("day", "next_day").agg(F.count("*").alias("keys"))
+
+
+def exact_ranged(statuses: DataFrame, again: DataFrame, ranges: DataFrame) -> DataFrame:
+    """ranges (first, last, and columns to keep; each once) with n, keys and top, the most frequent status: of equal ones the least, null last."""
+    spread = ranges.withColumn("day", F.explode(F.sequence("first", "last")))
+    counts = spread.join(statuses, "day").groupBy(*ranges.columns, "status").agg(F.sum("count").alias("count"))
+    order = F.struct(-F.col("count"), F.col("status").isNull(), "status")
+    rows = counts.groupBy(*ranges.columns).agg(F.sum("count").alias("n"), F.min_by("status", order).alias("top"))
+    last_there = F.col("next_day").isNull() | (F.col("next_day") > F.col("last"))
+    keys = spread.join(again, "day").filter(last_there).groupBy(*ranges.columns).agg(F.sum("keys").alias("keys"))
+    return rows.join(keys, ranges.columns, "left").select(*ranges.columns, "n", F.coalesce("keys", F.lit(0)).alias("keys"), "top")

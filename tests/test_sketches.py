@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sparksift.operators import sketches
 from sparksift.operators.report import status_rollup
+from sparksift.plans import catalogue
 from sparksift.streaming.dashboard import Dashboard
 
 from .conftest import SF_DIR
@@ -40,6 +41,28 @@ def test_no_days(spark):
     assert days.count() == 0 and sketches.ranged(days, spark.createDataFrame([(date(2024, 1, 1), date(2024, 1, 2))], "first date, last date")).count() == 0
 
 
+def test_exact_tables_of_days(spark):
+    day = F.date_add(F.lit(date(2024, 3, 1)), (F.col("id") % 9).cast("int"))
+    made = spark.range(30_000).select(day.cast("timestamp").alias("at"), (F.xxhash64("id") % 6000).alias("k"), F.lit("b").alias("s"))
+    odd = [(date(2024, 3, 20), None, None), (date(2024, 3, 20), 1, None), (date(2024, 3, 21), 1, "z"), (date(2024, 3, 21), 1, "y"), (None, 5, "y")]
+    log = made.unionByName(spark.createDataFrame(odd, "at date, k long, s string").withColumn("at", F.col("at").cast("timestamp"))).cache()
+    ranges = [(date(2024, 3, 1) + timedelta(a), date(2024, 3, 1) + timedelta(b)) for a in range(9) for b in range(a, 9)]
+    ranges += [(date(2024, 3, 20), date(2024, 3, 20)), (date(2024, 3, 21), date(2024, 3, 21)), (date(2024, 3, 20), date(2024, 3, 21))]
+    got = sketches.exact_ranged(*sketches.exact_daily(log, "at", "k", "s"), spark.createDataFrame(ranges, "first date, last date")).collect()
+    found = {(r["first"], r["last"]): (r["n"], r["keys"], r["top"]) for r in got}
+    held = log.filter("at IS NOT NULL").toPandas().assign(day=lambda f: f["at"].dt.date)
+    for first, last in ranges[:45]:
+        own = held[(held["day"] >= first) & (held["day"] <= last)]
+        assert found.pop((first, last)) == (len(own), own["k"].nunique(), "b")
+    assert [found[r] for r in ranges[45:]] == [(2, 1, None), (2, 1, "y"), (4, 1, None)]
+
+
+def test_users_of_days_are_exact_beyond_some_hundreds(spark, tmp_path):
+    spark.range(20_000).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(id % 3) AS ts", "id % 7000 AS user_id", "'view' AS event_type", "1.0D AS value", "'' AS props").write.parquet(str(tmp_path / "events.parquet"))
+    got = catalogue.q_day_sketches(spark, str(tmp_path)).filter("days = 7").orderBy("last").collect()
+    assert [(r["n"], r["users"]) for r in got] == [(6667, 6667), (13334, 7000), (20000, 7000)]
+
+
 def rows(df):
     return sorted(repr(tuple(r)) for r in df.collect())
 
