@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -43,25 +43,27 @@ def apart(spark: SparkSession) -> SparkSession:
 
 @dataclass(frozen=True)
 class Ran:
-    """What a stream gave, and what its progress said: rows in state after each batch, rows dropped as too late."""
+    """What a stream gave, what its progress said (rows in state after each batch, rows dropped as too late), and its checkpoint."""
 
     rows: DataFrame
     held: list[int]
     late: int
+    checkpoint: str
 
 
 def ran(df: DataFrame, mode: str, label: str) -> Ran:
     """Runs a stream over what there is. A batch that is done again overwrites its own files."""
-    spark, out = df.sparkSession, fresh_path(df.sparkSession, label)
+    spark = df.sparkSession
+    out, checkpoint = fresh_path(spark, label), fresh_path(spark, f"{label}-state")
 
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = df.writeStream.outputMode(mode).option("checkpointLocation", fresh_path(spark, f"{label}-state")).foreachBatch(save).trigger(availableNow=True).start()
+    query = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(save).trigger(availableNow=True).start()
     query.awaitTermination()
     states = [p["stateOperators"] for p in query.recentProgress]
     rows = spark.read.schema(f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, batch bigint").parquet(out).drop("batch")
-    return Ran(rows, [sum(o["numRowsTotal"] for o in s) for s in states], sum(o["numRowsDroppedByWatermark"] for s in states for o in s))
+    return Ran(rows, [sum(o["numRowsTotal"] for o in s) for s in states], sum(o["numRowsDroppedByWatermark"] for s in states for o in s), checkpoint)
 
 
 def followed(path: str, schema, at: str, delay: str, spark: SparkSession) -> DataFrame:
@@ -99,11 +101,30 @@ def sessions(events: DataFrame, by: str, at: str, gap: str, value: str) -> DataF
 
     As a stream it gives a session when the watermark has passed its end; until then sessions that an event bridges become
     one. What stays open at the end of the stream isn't given, and events behind the watermark are dropped and counted.
+    An event of the batch after may be in time and yet touch a session that has been given: see `joined_sessions`.
     """
-    found = events.filter(F.col(by).isNotNull()).groupBy(by, F.session_window(at, gap).alias("_s")).agg(F.count("*").alias("n"), F.round(F.sum(value), 2).alias("total"))
+    found = events.filter(F.col(by).isNotNull()).groupBy(by, F.session_window(at, gap).alias("_s")).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
     return found.select(by, F.col("_s.start").alias("start"), F.col("_s.end").alias("end"), "n", "total")
 
 
+def joined_sessions(run: Ran, by: str) -> DataFrame:
+    """The sessions that a stream gave, those that overlap as one, total rounded.
+
+    Spark drops an event as late against the watermark before the one by which it gives sessions, so an event that is in
+    time makes a session of its own where the one that it belongs to is gone from state. A session that it ties to what is
+    still open at the end, which is read from the state, isn't over and not given.
+    """
+    left = run.rows.sparkSession.read.format("statestore").load(run.checkpoint).select("value.*")
+    still = left.select(by, F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), F.lit(True).alias("_open"))
+    rows = run.rows.withColumn("_open", F.lit(False)).unionByName(still, allowMissingColumns=True)
+    order = Window.partitionBy(by).orderBy("start", "end", "_open")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = rows.withColumn("_opens", F.when(F.col("start") < reached, 0).otherwise(1))
+    numbered = marked.withColumn("_no", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = numbered.groupBy(by, "_no").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"), F.bool_or("_open").alias("_open"))
+    return joined.filter(~F.col("_open")).drop("_no", "_open")
+
+
 class Silences(StatefulProcessor):
     """A row for each event of a key that no other follows within `hours`, given when the watermark has passed that time.
 

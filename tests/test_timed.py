@@ -4,7 +4,10 @@ import random
 from collections import Counter
 from datetime import datetime, timedelta, timezone
 
+import duckdb
+
 from sparksift.plans import catalogue
+from sparksift.schemas import EVENT
 from sparksift.streaming import timed
 
 from .conftest import SF_DIR
@@ -74,3 +77,24 @@ def test_silences_of_any_rows(spark):
     got = sorted((r["user_id"], r["at"] // 60_000 - start, r["n"]) for r in silences_of(spark, rows).rows.collect())
     times = Counter((u, m) for m, u, _ in rows)
     assert got == sorted((u, m, n) for (u, m), n in times.items() if m + 720 <= 9540 and not any(v == u and m < o <= m + 720 for v, o in times))
+
+
+def test_a_late_event_joins_a_session_that_was_given(spark, tmp_path):
+    hour = 60
+    # User 1's session has been given when a late event of it comes; user 2's is tied by one to what is open at the end.
+    known = [(4 * 24 * hour + 23 * hour, 9), *((4 * 24 * hour + 15 * hour, u) for u in (1, 2, 3)), *((4 * 24 * hour + 22 * hour + 5 * hour * k, 2) for k in range(49)), (14 * 24 * hour + 23 * hour, 9), (0, 9)]
+    rows = [(50 * k, m, u) for k, (m, u) in enumerate(known)] + [(50 * k + 7, 4 * 24 * hour + 17 * hour, u) for k, u in enumerate((1, 2))]
+    day = datetime(2024, 1, 1)
+    made = [(i, day + timedelta(minutes=m), u, "view", 1.5, "{}") for i, m, u in rows]
+    spark.createDataFrame(made, EVENT).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = [tuple(r) for r in catalogue.q_stream_sessions(spark, str(tmp_path)).collect()]
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+        want = c.execute(catalogue.ORACLE_SQL["q_stream_sessions"]).fetchall()
+    assert sorted(got) == sorted(want)
+    assert [r for r in got if r[0] in (1, 2)] == [(1, day + timedelta(days=4, hours=15), day + timedelta(days=4, hours=23), 2, 3.0)]
+
+
+def test_no_sessions(spark, tmp_path):
+    spark.createDataFrame([], EVENT).write.parquet(str(tmp_path / "events.parquet"))
+    assert catalogue.q_stream_sessions(spark, str(tmp_path)).count() == 0
