@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pandas as pd
@@ -72,15 +72,21 @@ def pdf_links(data: bytes) -> list[str]:
     return [x for k, x in enumerate(found) if not k or found[k - 1] != x]
 
 
-def rendered(manifest: DataFrame) -> DataFrame:
+RENDERED = "bundle string, part_no long, pdf binary, xlsx binary"
+Frames = Iterator[pd.DataFrame]
+
+
+def rendered(manifest: DataFrame, then: Callable[[Frames], Frames] | None = None, schema: str = RENDERED) -> DataFrame:
     """bundle, part_no, host, url and, if there is one, evidence array to bundle, part_no, pdf, xlsx (binary). A part is bounded by the caps of the split.
 
-    In the PDF a url's evidence follows it, line by line; in the workbook it is a column, and urls are hyperlinks.
+    In the PDF a url's evidence follows it, line by line; in the workbook it is a column, and urls are hyperlinks. `then`
+    takes the files on, to rows of schema, in the task that made them and one part at a time: a step of its own would be
+    handed thousands of files at once, since Spark counts the rows of a batch and not their bytes.
     """
     if "evidence" not in manifest.columns:
         manifest = manifest.withColumn("evidence", F.array().cast("array<string>"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Frames) -> Frames:
         key, rows = None, []
 
         def close():
@@ -100,7 +106,7 @@ def rendered(manifest: DataFrame) -> DataFrame:
             yield close()
 
     dealt = manifest.select("bundle", "part_no", "host", "url", "evidence").repartition("bundle", "part_no").sortWithinPartitions("bundle", "part_no", "url")
-    return dealt.mapInPandas(run, "bundle string, part_no long, pdf binary, xlsx binary")
+    return dealt.mapInPandas((lambda frames: then(run(frames))) if then else run, schema)
 
 
 def put_bundles(manifest: DataFrame, path: str) -> DataFrame:

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from sparksift.config import Config
 from sparksift.functions.text import excerpt_of, host_of, text_of, title_of
 from sparksift.operators import cascade, export, lexicon, ml, state
+from sparksift.plans import catalogue
 from sparksift.sources import bundles, seeds, sheets
 
+from .conftest import SF_DIR
+
 
 def one(spark, column, value, kind="string"):
     return spark.createDataFrame([(value,)], f"x {kind}").select(column(F.col("x"))).first()[0]
@@ -216,3 +219,18 @@ def test_gate_spares_models(spark):
     pages = spark.createDataFrame([("a.com", "bet", 0.99), ("b.com", "bet", 0.01), ("c.com", "casino bet", 0.5), ("d.com", "x", None)], "host string, excerpt string, p double")
     got = {r["host"]: (r["verdict"], r["decided_by"], r["tokens"] > 0) for r in cascade.classify(pages, Config(ai_concurrency=1)).collect()}
     assert got == {"a.com": ("flag", "gate", False), "b.com": ("clear", "gate", False), "c.com": ("flag", "agreed", True), "d.com": ("clear", "agreed", True)}
+
+
+def test_files_of_parts_go_on_one_at_a_time(spark):
+    """Files that are read back are never handed over by thousands, which no cap on rows bounds."""
+    rows = spark.range(3000).selectExpr("concat('b', id % 3) AS bundle", "id div 3 div 10 AS part_no", "'h' AS host", "concat('https://h.example.com/', id) AS url")
+
+    def sizes(frames):
+        for f in frames:
+            links = sum(len(bundles.pdf_links(bytes(x))) for x in f["pdf"])
+            yield f[["bundle", "part_no"]].assign(files=len(f), links=links)
+
+    got = bundles.rendered(rows, sizes, "bundle string, part_no long, files long, links long").collect()
+    assert len(got) == 300 and {(r["files"], r["links"]) for r in got} == {(1, 10)}
+    plan = catalogue.q_export_bundles(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1
