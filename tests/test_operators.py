@@ -1,6 +1,7 @@
 """Operators on small frames: the contracts and their edge cases."""
 
 import json
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sparksift.config import Config
+from sparksift.functions.storage import fresh_path, in_folders, put_files
 from sparksift.functions.text import excerpt_of, host_of, text_of, title_of
 from sparksift.operators import cascade, export, lexicon, ml, state
 from sparksift.plans import catalogue
@@ -234,3 +236,15 @@ def test_files_of_parts_go_on_one_at_a_time(spark):
     assert len(got) == 300 and {(r["files"], r["links"]) for r in got} == {(1, 10)}
     plan = catalogue.q_export_bundles(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInPandas") == 1
+
+
+def test_small_files_share_folders_and_tasks(spark):
+    path = fresh_path(spark, "small")
+    files = spark.range(900).selectExpr("concat(id, '.png') AS name", "cast(id AS string) AS text").withColumn("content", F.col("text").cast("binary"))
+    put_files(in_folders(files), path)
+    folders = {p.parent.name for p in Path(path.removeprefix("file:")).rglob("*.png")}
+    assert 1 < len(folders) <= 512
+    shots = seeds.screenshots(spark, path)
+    assert shots.rdd.getNumPartitions() <= 8
+    assert sorted((r["name"], r["bytes"]) for r in shots.collect()) == sorted((f"{k}.png", len(str(k))) for k in range(900))
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != seeds.OPEN_COST
